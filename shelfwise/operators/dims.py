@@ -16,16 +16,10 @@ CHUNK_BITS = 16
 def first_row_per_key(df: DataFrame, key: str, values: Sequence[str], order: str = "created_at") -> DataFrame:
     """One row of ``values`` per key: the earliest by ``order``, ties by the values themselves.
 
-    The first step shrinks the log to its distinct (key, values) combinations with
-    a hash aggregate over a plain long; only those few rows reach ``min_by``, whose
-    struct state needs a sort-based aggregate.
+    A minimum combines on the map side, so a hot key reaches the shuffle as one row per task.
     """
-    combos = df.groupBy(key, *values).agg(F.min(order).alias("first_seen"))
-    return (
-        combos.groupBy(key)
-        .agg(F.min_by(F.struct(*values), F.struct("first_seen", *values)).alias("row"))
-        .select(key, "row.*")
-    )
+    earliest = df.groupBy(key).agg(F.min(F.struct(order, *values)).alias("earliest"))
+    return earliest.select(key, *[F.col(f"earliest.{c}").alias(c) for c in values])
 
 
 def user_dim(log: DataFrame, profile: Sequence[str] = ("gender", "age_range", "province")) -> DataFrame:

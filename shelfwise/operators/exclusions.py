@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.sizing import sized
 from shelfwise.schema import BRAND_RULE, CATEGORY_RULE, PRODUCT_RULE
 
 RULE_KEYS = {PRODUCT_RULE: "item_id", CATEGORY_RULE: "cat_id", BRAND_RULE: "brand_id"}
@@ -21,36 +22,29 @@ def exclusion_filter(ratings: DataFrame, items: DataFrame, rules: DataFrame) ->
 
     As with SQL ``NOT IN``, a null category or brand is dropped once there is a
     rule of that type; an item missing from ``items`` counts as null. A type
-    without rules puts no condition.
+    without rules puts no condition; which types occur is all that reaches the driver.
 
     The rules are resolved to a list of blocked items on the distinct rated items,
     which partial aggregation shrinks before the shuffle. The ratings themselves
-    only meet that list in one anti-join: broadcast if its measured size allows,
-    else a shuffle join in which a hot item's partition can be split.
+    only meet that list in one anti-join, without a shuffle if the list is small.
     """
     settings = exclusion_settings(rules)
-    present = settings.agg(
-        F.struct(
-            *[
-                F.coalesce(F.bool_or(F.col("object_type") == kind), F.lit(False)).alias(kind)
-                for kind in RULE_KEYS
-            ]
-        )
-    ).scalar()
-
-    rated = ratings.select("item_id").where(F.col("item_id").isNotNull()).distinct()
-    candidates = rated.join(items.select("item_id", "cat_id", "brand_id"), "item_id", "left")
-    blocked: Column = F.lit(False)
-    for kind, key in RULE_KEYS.items():
-        hit = f"by_{key}"
-        named = settings.where(F.col("object_type") == kind).select(
-            F.col("object_id").alias(key), F.lit(True).alias(hit)
-        )
-        candidates = candidates.join(named, key, "left")
-        blocked = blocked | F.col(hit).isNotNull() | (F.col(key).isNull() & present[kind])
-    blocked_items = candidates.where(blocked).select("item_id")
-
-    any_rule = present[PRODUCT_RULE] | present[CATEGORY_RULE] | present[BRAND_RULE]
-    return ratings.where(F.col("item_id").isNotNull() | ~any_rule).join(
-        blocked_items, "item_id", "left_anti"
-    )
+    kinds = {row["object_type"] for row in settings.select("object_type").distinct().collect()}
+    if not kinds:
+        return ratings
+    ratings = ratings.where(F.col("item_id").isNotNull())
+    if kinds == {PRODUCT_RULE}:
+        blocked_items = settings.select(F.col("object_id").alias("item_id"))
+    else:
+        rated = ratings.select("item_id").distinct()
+        candidates = rated.join(items.select("item_id", "cat_id", "brand_id"), "item_id", "left")
+        blocked = F.lit(False)
+        for kind, key in RULE_KEYS.items():
+            if kind in kinds:
+                named = settings.where(F.col("object_type") == kind).select(
+                    F.col("object_id").alias(key), F.lit(True).alias(f"by_{key}")
+                )
+                candidates = candidates.join(named, key, "left")
+                blocked = blocked | F.col(f"by_{key}").isNotNull() | F.col(key).isNull()
+        blocked_items = candidates.where(blocked).select("item_id")
+    return ratings.join(sized(blocked_items), "item_id", "left_anti").select(*ratings.columns)

@@ -1,8 +1,7 @@
 """Replacing and upserting rows of a table by key.
 
-Neither operator hints a broadcast: with adaptive execution Spark broadcasts the
-update side only once its measured size is below the threshold, and otherwise
-shuffles and splits skewed partitions of the table side.
+The side that changes is finished first and its size decides the join, so a small
+change passes over a large table without shuffling it.
 """
 
 from __future__ import annotations
@@ -12,10 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.sizing import sized
+
 
 def replace_by_key(table: DataFrame, new_rows: DataFrame, key: str = "user_id") -> DataFrame:
     """Drop all rows whose key occurs in ``new_rows``, then add ``new_rows``."""
-    new_keys = new_rows.select(key).distinct()
+    new_keys = sized(new_rows.select(key).distinct())
     return table.join(new_keys, key, "left_anti").unionByName(new_rows.select(*table.columns))
 
 
@@ -32,9 +33,8 @@ def upsert_by_key(
     fields = [c for c in updates.columns if c not in (*keys, order)]
     if order in table.columns and order not in keys:
         fields.append(order)
-    last = (
-        updates.groupBy(*keys)
-        .agg(F.max_by(F.struct(*fields), F.struct(order, *fields)).alias("pending"))
+    last = sized(
+        updates.groupBy(*keys).agg(F.max_by(F.struct(*fields), F.struct(order, *fields)).alias("pending"))
     )
     merged = table.join(last, keys, "left").select(
         *[
