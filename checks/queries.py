@@ -24,7 +24,7 @@ from checks.bindings import (
 from shelfwise import schema
 from shelfwise.functions.affinity import clamp, flag_positive
 from shelfwise.functions.clock import day_ago, epoch_bounds
-from shelfwise.functions.messages import join_ids, parse_event, render_recs_json
+from shelfwise.functions.messages import parse_event, render_recs_json
 from shelfwise.functions.splits import TEST, bucket_of, split_of
 from shelfwise.operators import dims, evaluation, exclusions, interactions, merge, model, selection, topk
 from shelfwise.plans.imports import job_import, job_import_raw
@@ -508,9 +508,7 @@ def flag_positive_count(spark, sf_dir):
 
 @query_named("join_ids")
 def join_ids_text(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    items = F.array_sort(F.collect_set("l_partkey"))
-    return lines.groupBy("l_orderkey").agg(items.alias("items")).select("l_orderkey", join_ids(F.col("items")).alias("ids"))
+    return dims.ids_per_key(table(spark, sf_dir, "lineitem"), "l_orderkey", F.col("l_partkey"), "ids")
 
 
 @query_named("parse_event")

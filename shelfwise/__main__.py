@@ -10,6 +10,7 @@ from shelfwise.plans.recommend import job_incremental, job_offline, job_stream,
 from shelfwise.plans.warehouse import document_warehouse, file_warehouse
 from shelfwise.session import build_session
 from shelfwise.streaming.channels import kafka_options
+from shelfwise.streaming.retrain import BATCH_INTERVAL
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -21,6 +22,9 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--tables", help="folder of the stored tables")
     parser.add_argument("--store-format", help="connector format instead of a folder")
     parser.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument(
+        "--shuffle-partitions", type=int, default=4000, help="before adaptive execution merges small ones"
+    )
     jobs = parser.add_subparsers(dest="job", required=True)
     jobs.add_parser("import").add_argument("csv")
     raw = jobs.add_parser("import-raw")
@@ -40,12 +44,15 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("topics")
     stream.add_argument("work_path")
     stream.add_argument("--retrain-every", type=int, default=1)
+    stream.add_argument("--interval", default=BATCH_INTERVAL)
     return parser
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(f"shelfwise {args.job}")
+    spark = build_session(
+        f"shelfwise {args.job}", conf={"spark.sql.shuffle.partitions": str(args.shuffle_partitions)}
+    )
     if args.store_format:
         tables = document_warehouse(_options(args.store_option), args.store_format)
     else:
@@ -63,7 +70,10 @@ def main(argv: list[str] | None = None) -> None:
     else:
         source = ("kafka", kafka_options(args.brokers, args.topics))
         sink = ("kafka", {"kafka.bootstrap.servers": args.brokers})
-        job_stream(spark, tables, source, sink, args.work_path, retrain_every=args.retrain_every).awaitTermination()
+        stream = job_stream(
+            spark, tables, source, sink, args.work_path, retrain_every=args.retrain_every, interval=args.interval
+        )
+        stream.awaitTermination()
 
 
 if __name__ == "__main__":

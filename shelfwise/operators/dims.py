@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.messages import join_ids
@@ -30,25 +30,25 @@ def item_dim(log: DataFrame, attributes: Sequence[str] = ("cat_id", "brand_id",
     return first_row_per_key(log, "item_id", list(attributes))
 
 
-def user_purchase_profile(ratings: DataFrame) -> DataFrame:
-    """Per user the distinct bought items in numeric order as text, or ``"0"``.
+def ids_per_key(df: DataFrame, key: str, ids: Column, text: str) -> DataFrame:
+    """Per key the distinct ids in numeric order as one text; null if it has none.
 
-    A user's items are gathered in id ranges of 65,536 first, so no sort or
-    de-duplication ever holds more than one range however many items a user
-    bought. The second step only strings the finished range texts together.
+    A key's ids are gathered in id ranges of 65,536 first, so no sort or
+    de-duplication ever holds more than one range however many rows a key has.
+    The second step only strings the finished range texts together.
     """
-    bought = F.when(F.col("bought_count") > 0, F.col("item_id"))
     ranges = (
-        ratings.groupBy("user_id", F.shiftright(bought, CHUNK_BITS).alias("id_range"))
-        .agg(F.array_sort(F.collect_set(bought)).alias("items"))
-        .select("user_id", "id_range", join_ids(F.col("items")).alias("text"))
-    )
-    parts = F.array_sort(
-        F.collect_list(F.when(F.col("id_range").isNotNull(), F.struct("id_range", "text")))
-    )
-    return ranges.groupBy("user_id").agg(parts.alias("parts")).select(
-        "user_id",
-        F.when(F.size("parts") == 0, NO_PURCHASE)
-        .otherwise(F.array_join(F.col("parts.text"), ","))
-        .alias("bought_item_ids"),
+        df.groupBy(key, F.shiftright(ids, CHUNK_BITS).alias("id_range"))
+        .agg(F.array_sort(F.collect_set(ids)).alias("ids"))
+        .select(key, "id_range", join_ids(F.col("ids")).alias("part"))
     )
+    parts = F.array_sort(F.collect_list(F.when(F.col("id_range").isNotNull(), F.struct("id_range", "part"))))
+    whole = F.when(F.size("parts") > 0, F.array_join(F.col("parts.part"), ","))
+    return ranges.groupBy(key).agg(parts.alias("parts")).select(key, whole.alias(text))
+
+
+def user_purchase_profile(ratings: DataFrame) -> DataFrame:
+    """Per user the distinct bought items as text, or ``"0"``."""
+    bought = F.when(F.col("bought_count") > 0, F.col("item_id"))
+    lists = ids_per_key(ratings, "user_id", bought, "bought_item_ids")
+    return lists.fillna(NO_PURCHASE, ["bought_item_ids"])

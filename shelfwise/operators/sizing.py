@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.session import scratch_path
 
 BROADCAST_BYTES = 32 << 20
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -29,16 +29,18 @@ def _row_width(schema: T.StructType) -> int | None:
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Finish ``df`` on reliable storage and mark it for broadcast if it is small enough.
+    """Write ``df`` to the shared folder and mark it for broadcast if it is small enough.
 
     Adaptive execution learns the size of a small side only after the large side has
     been shuffled too. Counting first spares that shuffle. Above ``limit``, or with
-    columns of unbounded length, the join is a sort-merge join, in which adaptive
+    columns of unbounded length, the join is a sort-merge join. A written table brings
+    no partitioning of its own, so both sides of it are fresh shuffles, and adaptive
     execution can split the partition of a hot key on the large side.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    done = df.checkpoint()
+    path = scratch_path(df.sparkSession, "sized")
+    df.write.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
     width = _row_width(df.schema)
-    if width is not None and done.count() * width <= limit:
-        return F.broadcast(done)
-    return done.hint("merge")
+    if width is not None and written.count() * width <= limit:
+        return F.broadcast(written)
+    return written.hint("merge")

@@ -32,7 +32,7 @@ from shelfwise.plans.warehouse import Warehouse, recommendable_ratings, stored_r
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources.tables import Table, exists, table_overwrite, table_scan
 from shelfwise.streaming.channels import stream_source
-from shelfwise.streaming.retrain import Retrainer, micro_batch
+from shelfwise.streaming.retrain import BATCH_INTERVAL, Retrainer, micro_batch
 
 # List lengths of the full and the incremental job.
 OFFLINE_TOP_N = 200
@@ -122,6 +122,7 @@ def job_stream(
     params: Params = FIXED_PARAMS,
     retrain_every: int = 1,
     available_now: bool = False,
+    interval: str = BATCH_INTERVAL,
 ) -> StreamingQuery:
     """Retrain and publish as rating events arrive.
 
@@ -137,4 +138,4 @@ def job_stream(
         retrain_every=retrain_every,
     )
     messages = stream_source(spark, source[0], source[1])
-    return micro_batch(messages, handler, f"{work_path}/progress", available_now)
+    return micro_batch(messages, handler, f"{work_path}/progress", available_now, interval)

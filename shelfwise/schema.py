@@ -107,10 +107,10 @@ def canonical_log(df: DataFrame) -> DataFrame:
 
 
 def canonical_ratings(df: DataFrame) -> DataFrame:
-    """Either rating layout. Times kept as digit strings become longs; a missing
-    ``updated_at`` falls back to ``created_at``."""
+    """Either rating layout. Times kept as digit strings become longs; where the layout
+    has no ``updated_at``, ``created_at`` stands for it."""
     out = conform(df, RATINGS)
-    return out.withColumn("updated_at", F.coalesce("updated_at", "created_at"))
+    return out if "updated_at" in df.columns else out.withColumn("updated_at", F.col("created_at"))
 
 
 def rating_project(df: DataFrame, *extra: str) -> DataFrame:

@@ -38,23 +38,32 @@ class Table:
         return replace(self, options={**self.options, name: self.options[name] + suffix})
 
 
-def _versions(spark: SparkSession, path: str) -> tuple[object, list[int]]:
-    """The file system of ``path`` and the complete versions below it, ascending."""
+def complete_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers of the finished folders ``<path>/<prefix><n>``, ascending."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     root = hadoop.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
-        return fs, []
+        return []
     numbers = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            numbers.append(int(name.removeprefix("version=")))
-    return fs, sorted(numbers)
+        if name.startswith(prefix) and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
+            numbers.append(int(name.removeprefix(prefix)))
+    return sorted(numbers)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return complete_folders(spark, path, "version=")
 
 
 def exists(spark: SparkSession, table: Table) -> bool:
-    return not table.is_file or bool(_versions(spark, table.path)[1])
+    return not table.is_file or bool(_versions(spark, table.path))
 
 
 def table_scan(spark: SparkSession, table: Table, columns: Sequence[str] | None = None, schema=None) -> DataFrame:
@@ -63,7 +72,7 @@ def table_scan(spark: SparkSession, table: Table, columns: Sequence[str] | None
     if schema is not None:
         reader = reader.schema(schema)
     if table.is_file:
-        numbers = _versions(spark, table.path)[1]
+        numbers = _versions(spark, table.path)
         if not numbers:
             raise FileNotFoundError(f"no complete version of {table.path}")
         df = reader.load(f"{table.path}/version={numbers[-1]}")
@@ -76,7 +85,7 @@ def table_append(df: DataFrame, table: Table) -> None:
     """Add rows as they are; running twice adds them twice."""
     writer = df.write.format(table.format).options(**table.options).mode("append")
     if table.is_file:
-        numbers = _versions(df.sparkSession, table.path)[1]
+        numbers = _versions(df.sparkSession, table.path)
         writer.save(f"{table.path}/version={numbers[-1] if numbers else 0}")
     else:
         writer.save()
@@ -90,8 +99,8 @@ def table_overwrite(df: DataFrame, table: Table, reads_target: bool = False) ->
         df.write.format(table.format).options(**table.options).mode("overwrite").save()
         return
     spark = df.sparkSession
-    fs, numbers = _versions(spark, table.path)
+    numbers = _versions(spark, table.path)
     version = numbers[-1] + 1 if numbers else 0
     df.write.format(table.format).options(**table.options).mode("overwrite").save(f"{table.path}/version={version}")
     for old in numbers[: -(KEPT_VERSIONS - 1)]:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{table.path}/version={old}"), True)
+        remove_folder(spark, f"{table.path}/version={old}")

@@ -48,7 +48,8 @@ def test_settings_are_the_distinct_active_rules(spark, rows):
     assert rows(exclusions.exclusion_settings(rules)) == [("Brand", 1)]
 
 
-def test_a_hot_item_is_split_when_the_block_list_is_too_large_to_broadcast(spark, monkeypatch):
+@pytest.mark.parametrize("kind", ["Product", "Category"])
+def test_a_hot_item_is_split_when_the_block_list_is_too_large_to_broadcast(spark, monkeypatch, kind):
     original = sizing.sized
     monkeypatch.setattr(exclusions, "sized", lambda df: original(df, -1))
     conf = {
@@ -64,13 +65,13 @@ def test_a_hot_item_is_split_when_the_block_list_is_too_large_to_broadcast(spark
         ids = spark.range(0, 60000, 1, 8)
         hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 4000)
         ratings = ids.select(F.xxhash64("id").alias("user_id"), hot.alias("item_id"))
-        rules = spark.range(4000).select(
-            F.lit("Product").alias("object_type"), (F.col("id") * 2).alias("object_id"), F.lit(1).alias("is_available")
+        items = spark.range(4000).select(
+            F.col("id").alias("item_id"), (F.col("id") % 2).alias("cat_id"), F.lit(1).alias("brand_id")
         )
-        out = exclusions.exclusion_filter(ratings, spark.createDataFrame(ITEMS, "item_id long, cat_id long, brand_id long"), rules)
-        want = ratings.where(F.col("item_id") % 2 == 1).count()
-        got = out.collect()
-        assert len(got) == want
+        blocked = (F.col("id") * 2).alias("object_id") if kind == "Product" else F.lit(0).alias("object_id")
+        rules = spark.range(4000).select(F.lit(kind).alias("object_type"), blocked, F.lit(1).alias("is_available"))
+        out = exclusions.exclusion_filter(ratings, items, rules)
+        assert len(out.collect()) == ratings.where(F.col("item_id") % 2 == 1).count()
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
         for key, value in before.items():

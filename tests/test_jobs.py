@@ -105,5 +105,5 @@ def test_incremental_without_earlier_recommendations(spark, filled):
 
 def test_command_line_import(spark, tmp_path):
     root = str(tmp_path / "cli")
-    main(["--tables", root, "import", write(tmp_path / "v1.csv", V1)])
+    main(["--tables", root, "--shuffle-partitions", "4", "import", write(tmp_path / "v1.csv", V1)])
     assert stored_ratings(spark, file_warehouse(root)).count() == 2
