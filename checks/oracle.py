@@ -68,6 +68,14 @@ FROM embeddings a, embeddings b""",
         ("pairs",),
         """SELECT * FROM (SELECT u, i, score,
   row_number() OVER (PARTITION BY u ORDER BY round(score, 9) DESC, i) AS rank FROM pairs) WHERE rank <= 10""",
+    ),
+    "allowed": (
+        ("ratings", "rules"),
+        """SELECT ratings.* FROM ratings JOIN part ON item_id = p_partkey
+WHERE item_id NOT IN (SELECT object_id FROM rules WHERE is_available = 1 AND object_type = 'Product')
+  AND p_size NOT IN (SELECT object_id FROM rules WHERE is_available = 1 AND object_type = 'Category')
+  AND CAST(split_part(p_brand, '#', 2) AS BIGINT) NOT IN (
+    SELECT object_id FROM rules WHERE is_available = 1 AND object_type = 'Brand')""",
     ),
     "messages": (
         ("log",),
@@ -306,5 +314,38 @@ WHERE u IN (SELECT user_id FROM log)""",
     "job_import": _with(f"SELECT {RATED} FROM wide_ratings", "wide_ratings"),
     "job_import_raw": _with(PROFILE.format("raw_ratings"), "raw_ratings"),
 }
+ORACLE["als_train_coverage"] = _with(
+    "SELECT DISTINCT CAST(item_id AS INTEGER) AS id, 12 AS n_features FROM ratings", "ratings"
+)
+ORACLE["als_predict_coverage"] = _with(
+    """SELECT user_id, item_id, round(rating, 6) AS rating, TRUE AS scored FROM split WHERE split = 'test'
+  AND user_id IN (SELECT user_id FROM split WHERE split <> 'test')
+  AND item_id IN (SELECT item_id FROM split WHERE split <> 'test')""",
+    "split",
+)
+ORACLE["model_report_coverage"] = _with(
+    """SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
+  count(CASE WHEN split = 'train' THEN 1 END) AS n_train,
+  count(CASE WHEN split = 'validation' THEN 1 END) AS n_validation,
+  count(CASE WHEN split = 'test' THEN 1 END) AS n_test, 12 AS rank, 20 AS iterations,
+  (SELECT round(mean_rating, 6) FROM base) AS mean_rating, (SELECT round(baseline_rmse, 6) FROM base) AS baseline_rmse
+FROM split""",
+    "split",
+    "base",
+)
+SIZES = """SELECT user_id, CAST({as_of} AS BIGINT) AS created_at, least(n, {top}) AS n_items,
+  CAST(least(n, {top}) AS INTEGER) AS last_rank
+FROM (SELECT DISTINCT user_id FROM allowed WHERE {active}), (SELECT count(DISTINCT item_id) AS n FROM allowed)"""
+ORACLE["job_offline_coverage"] = _with(SIZES.format(as_of=AS_OF, top=200, active="TRUE"), "allowed")
+ORACLE["job_incremental_coverage"] = _with(
+    SIZES.format(as_of=AS_OF, top=300, active=f"updated_at >= {AS_OF} - 86400"), "allowed"
+)
+ORACLE["job_stream_coverage"] = _with(
+    """SELECT user_id, least(n, 200) AS n_items FROM (SELECT DISTINCT user_id FROM messages WHERE is_valid),
+  (SELECT count(DISTINCT item_id) AS n FROM (
+    SELECT item_id FROM ratings UNION ALL SELECT item_id FROM messages WHERE is_valid))""",
+    "ratings",
+    "messages",
+)
 ORACLE["parse_event"] = ORACLE["stream_source"]
 ORACLE["recs_flatten"] = ORACLE["recs_publish"]

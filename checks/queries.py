@@ -594,11 +594,22 @@ def model_report(spark, sf_dir):
         return model.model_report(ratings, model.als_grid_search(ratings, [model.FIXED_PARAMS]))
 
 
-@query
-def model_save_load(spark, sf_dir):
+def saved_and_loaded(spark, sf_dir):
     path = scratch_path(spark, "model")
     model.model_save(model.als_train(events_ratings(spark, sf_dir), model.FIXED_PARAMS), path)
-    return model.user_factors(model.model_load(path))
+    return model.model_load(path)
+
+
+@query
+def model_save(spark, sf_dir):
+    return model.item_factors(saved_and_loaded(spark, sf_dir))
+
+
+@query
+def model_load(spark, sf_dir):
+    loaded = saved_and_loaded(spark, sf_dir)
+    pairs = events_ratings(spark, sf_dir).select("user_id", "item_id", "rating")
+    return rounded(model.als_predict(loaded, pairs), "rating", "prediction")
 
 
 # --- jobs ------------------------------------------------------------------------
@@ -665,3 +676,51 @@ def job_stream_messages(spark, sf_dir):
     )
     stream.awaitTermination()
     return spark.read.parquet(f"{work}/published")
+
+
+# --- what is certain about a trained result: who and what it covers ----------------
+
+
+@query
+def als_train_coverage(spark, sf_dir):
+    return als_train(spark, sf_dir).select("id", F.size("features").alias("n_features"))
+
+
+@query
+def als_predict_coverage(spark, sf_dir):
+    scored = als_predict(spark, sf_dir)
+    return scored.select("user_id", "item_id", "rating", F.col("prediction").isNotNull().alias("scored"))
+
+
+@query
+def model_report_coverage(spark, sf_dir):
+    report = model_report(spark, sf_dir).drop("test_rmse", "improvement_pct", "reg")
+    return rounded(report, "mean_rating", "baseline_rmse")
+
+
+def list_sizes(recs: DataFrame) -> DataFrame:
+    return recs.groupBy("user_id", "created_at").agg(
+        F.count_distinct("item_id").alias("n_items"), F.max("rank").alias("last_rank")
+    )
+
+
+@query
+def job_offline_coverage(spark, sf_dir):
+    return list_sizes(job_offline_recs(spark, sf_dir))
+
+
+@query
+def job_incremental_coverage(spark, sf_dir):
+    return list_sizes(job_incremental_recs(spark, sf_dir))
+
+
+@query
+def job_stream_coverage(spark, sf_dir):
+    lists = F.from_json("value", "array<struct<user:long, product:long, rating:double>>")
+    products = F.explode(lists).alias("r")
+    return (
+        job_stream_messages(spark, sf_dir)
+        .select(products)
+        .groupBy(F.col("r.user").alias("user_id"))
+        .agg(F.count_distinct("r.product").alias("n_items"))
+    )

@@ -123,7 +123,7 @@ def als_grid_search(
     grid: Sequence[Params] | None = None,
     fit_on: str = TRAIN,
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> GridResult:
     """Fit every setting, keep the one of the lowest validation error.
 
