@@ -35,6 +35,8 @@ DISTANCE = 3
 SEED = 42
 #: Variants that one bucket should hold, and their mean number for a fingerprint.
 BUCKET_VARIANTS, MEAN_VARIANTS = 2_000_000, 561
+#: There are two to this power buckets at least.
+LEAST_WIDTH = 7
 _CHUNK = 500_000
 
 
@@ -102,21 +104,26 @@ def _parity(x: np.ndarray) -> np.ndarray:
 
 
 def _to_buckets(width: int):
-    """Each fingerprint with every bucket that one of its variants belongs to."""
+    """(bucket, fps): the fingerprints of a batch that have variants in a bucket, as one value.
+
+    A fingerprint goes to as many buckets as there are, or as it has variants, if that is less.
+    """
     steps = [np.unique(linear_hash(m, width)) for m in MASKS]
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             every = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for parity in (0, 1):
-                own = every[_parity(every) == parity]
-                for k in range(0, len(own), max(1, 1_000_000 // len(steps[parity]))):
-                    x = own[k : k + max(1, 1_000_000 // len(steps[parity]))]
-                    bucket = linear_hash(x, width)[:, None] ^ steps[parity][None, :]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(bucket.ravel()), pa.array(np.repeat(x, len(steps[parity])).view(np.int64))],
-                        names=["bucket", "fp"],
-                    )
+                own, step = every[_parity(every) == parity], steps[parity]
+                for k in range(0, len(own), max(1, 2_000_000 // len(step))):
+                    x = own[k : k + max(1, 2_000_000 // len(step))]
+                    bucket = (linear_hash(x, width)[:, None] ^ step[None, :]).ravel()
+                    order = np.argsort(bucket)
+                    ids, sizes = np.unique(bucket, return_counts=True)
+                    offsets = np.append(0, np.cumsum(sizes) * 8).astype(np.int32)
+                    data = np.repeat(x, len(step))[order]
+                    packed = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), packed], names=["bucket", "fps"])
 
     return task
 
@@ -129,7 +136,7 @@ def _meet(width: int):
         grouped.append({int(v): (masks[h == v], far[h == v]) for v in np.unique(h)})
 
     def group(key: tuple, rows: pa.Table) -> pa.Table:
-        every = np.unique(rows.column("fp").to_numpy().view(np.uint64))
+        every = np.unique(np.frombuffer(b"".join(rows.column("fps").to_pylist()), dtype=np.uint64))
         wanted, parity = key[0].as_py() ^ linear_hash(every, width), _parity(every)
         variants, owners, fars = [], [], []
         for p in (0, 1):
@@ -168,8 +175,8 @@ def _meet(width: int):
 def links(prints: DataFrame) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``prints(fp)`` that keep every component whole."""
     n = prints.count()
-    width = min(31, max(3, int(n * MEAN_VARIANTS / BUCKET_VARIANTS).bit_length()))
-    met = prints.select("fp").mapInArrow(_to_buckets(width), "bucket long, fp long")
+    width = min(31, max(LEAST_WIDTH, int(n * MEAN_VARIANTS / BUCKET_VARIANTS).bit_length()))
+    met = prints.select("fp").mapInArrow(_to_buckets(width), "bucket long, fps binary")
     return met.groupBy("bucket").applyInArrow(_meet(width), "a long, b long")
 
 
