@@ -133,7 +133,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int =
 
 def weights_of(model: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     """The non-zero weights: 2 ** WIDTH at most, whatever the size of the corpus."""
-    rows = model.toPandas().sort_values("feature")
+    rows = model.toArrow().to_pandas().sort_values("feature")
     bias = rows.weight[rows.feature == -1].sum()
     rows = rows[rows.feature >= 0]
     return rows.feature.to_numpy(), rows.weight.to_numpy(), float(bias)
