@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,23 @@ def batches(schema: T.StructType, columns: Sequence[Any]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=target)
 
 
+#: Input bytes that a function takes at a time; one long text may be more.
+SLICE_BYTES = 2 << 20
+
+
+def sliced(batch: pa.RecordBatch, first: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``size`` bytes in the columns from ``first`` on."""
+    held = np.full(batch.num_rows, 64, dtype=np.int64)
+    for column in batch.columns[first:]:
+        if pa.types.is_binary(column.type):
+            held += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part, start = np.cumsum(held) // size, 0
+    for end in [*(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]:
+        if end > start:
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def with_columns(
     docs: DataFrame,
     inputs: Sequence[Column],
@@ -61,7 +80,7 @@ def with_columns(
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = make()
-        for batch in stream:
+        for batch in (part for whole in stream for part in sliced(whole, n)):
             made = rows(*[batch.column(i).to_pylist() for i in range(n, batch.num_columns)])
             yield batches(out, [*[batch.column(i) for i in range(n)], *made])
 

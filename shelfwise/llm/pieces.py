@@ -12,6 +12,7 @@ import hashlib
 import heapq
 import re
 import struct
+from array import array
 from dataclasses import dataclass
 from itertools import chain
 
@@ -27,7 +28,8 @@ PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 SPACE = "▁"
-_KEEP_CHUNKS = 1 << 17
+_KEEP_CHUNKS = 200_000
+_SHORT, _REMEMBERED, _NONE = 40, 64, float("inf")
 
 
 def _fields(data: bytes):
@@ -120,12 +122,16 @@ class Model:
             raise ValueError("only BPE models without user-defined or unused pieces and with leading space symbols")
         self.map = CharacterMap(compiled)
         self.unknown = self.kinds.index(UNKNOWN)
-        self.merges = {p: (-self.scores[i], i) for p, i in self.ids.items() if self.kinds[i] == NORMAL}
+        self.merges = {p: i for p, i in self.ids.items() if self.kinds[i] == NORMAL}
+        self.ranks = {p: -self.scores[i] for p, i in self.merges.items()}
         self.bytes = [self.ids.get(f"<0x{b:02X}>", self.unknown) for b in range(256)]
         # Without pieces that hold a space symbol after another character, merges stay within chunks.
         inner = any(SPACE in p.lstrip(SPACE) for p in self.merges)
         self.chunks = re.compile("(?s).+" if inner or not self.escape else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.pairs = {p[k : k + 2] for p in self.merges for k in range(len(p) - 1)}
+        self.names = [str(i) for i in range(len(self.kinds))]
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
     # --- normalising -----------------------------------------------------------------
 
@@ -170,16 +176,35 @@ class Model:
 
     # --- merging -----------------------------------------------------------------------
 
+    def _merge_short(self, chunk: str) -> list[str]:
+        """As ``_merge``, with a plain list of the ranks of neighbours."""
+        parts, get = list(chunk), self.ranks.get
+        ranks = [get(a + b, _NONE) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == _NONE:
+                break
+            at = ranks.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get(parts[at - 1] + parts[at], _NONE)
+            if at < len(ranks):
+                ranks[at] = get(parts[at] + parts[at + 1], _NONE)
+        return parts
+
     def _merge(self, chunk: str) -> list[str]:
         """Best pair first, the left one of equals, until nothing merges."""
+        if len(chunk) <= _SHORT:
+            return self._merge_short(chunk)
         parts: list[str | None] = list(chunk)
-        n, merges = len(parts), self.merges
+        n, ranks = len(parts), self.ranks
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
         queue: list[tuple] = []
 
         def offer(a: int, b: int) -> None:
-            if a >= 0 and b >= 0 and (rank := merges.get(parts[a] + parts[b])):
-                heapq.heappush(queue, (rank[0], a, b, len(parts[a]) + len(parts[b])))
+            if a >= 0 and b >= 0 and (rank := ranks.get(parts[a] + parts[b])) is not None:
+                heapq.heappush(queue, (rank, a, b, len(parts[a]) + len(parts[b])))
 
         for a in range(n - 1):
             offer(a, a + 1)
@@ -195,55 +220,59 @@ class Model:
             offer(a, right[a])
         return [p for p in parts if p is not None]
 
-    def chunk(self, text: str) -> tuple[list[int], list[int], list[int], str]:
-        """(ids, first characters, last characters + 1, ids as text) of a chunk, remembered."""
-        ids, begins, ends, at = [], [], [], 0
+    def _cut(self, text: str) -> tuple[tuple[int, ...], bytes]:
+        """Ids of a chunk that nothing splits, and the characters that each of them covers."""
+        ids, widths = [], []
         for part in self._merge(text):
             got = self.merges.get(part)
-            if got:
-                own = [got[1]]
+            if got is not None:
+                ids.append(got)
+                widths.append(len(part))
             elif self.fallback:
+                # Byte pieces of a character: all but the last one cover nothing.
                 own = [self.bytes[b] for b in part.encode()]
+                ids += own
+                widths += [0] * (len(own) - 1) + [len(part)]
+            elif ids and ids[-1] == self.unknown:
+                widths[-1] += len(part)  # neighbouring unknown characters are one piece
+            else:
+                ids.append(self.unknown)
+                widths.append(len(part))
+        return tuple(ids), array("i", widths).tobytes()
+
+    def chunk(self, text: str) -> tuple[tuple[int, ...], bytes]:
+        """``_cut``, remembered; what no piece can join is looked up apart."""
+        got = self.older.get(text)
+        if got is None:
+            pairs = self.pairs
+            cuts = [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in pairs] if self.fallback else []
+            if cuts:
+                known, chunk = self.known, self.chunk
+                parts = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+                found = [known.get(t) or chunk(t) for t in parts]
+                got = tuple(chain.from_iterable([f[0] for f in found])), b"".join([f[1] for f in found])
             else:
-                own = [self.unknown]
-            ids += own
-            # Byte pieces of a character: all but the last one are empty spans at its start.
-            begins += [at] * len(own)
-            ends += [at] * (len(own) - 1) + [at + len(part)]
-            at += len(part)
-        if not self.fallback:
-            ids, begins, ends = _joined_unknown(ids, begins, ends, self.unknown)
-        out = (ids, begins, ends, ",".join(map(str, ids)))
-        if len(text) < 256:
+                got = self._cut(text)
+        if len(text) <= _REMEMBERED:
             if len(self.known) >= _KEEP_CHUNKS:
+                # What was used since the last turn stays at hand, what wasn't goes.
+                self.older = dict(self.known)
                 self.known.clear()
-            self.known[text] = out
-        return out
+            self.known[text] = got
+        return got
 
-    def encode(self, source: bytes) -> tuple[list[int], np.ndarray, np.ndarray, str]:
-        """ids, first source bytes, ends in source bytes, and the ids as text."""
+    def encode(self, source: bytes) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """ids, first source bytes and ends in source bytes."""
         normal = self.normalise(source)
         known, chunk = self.known, self.chunk
-        texts = self.chunks.findall(normal.text)
-        found = [known.get(t) or chunk(t) for t in texts]
+        found = [known.get(t) or chunk(t) for t in self.chunks.findall(normal.text)]
         ids = list(chain.from_iterable([f[0] for f in found]))
-        sizes = np.fromiter((len(f[0]) for f in found), dtype=np.int64, count=len(found))
-        widths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        base = np.repeat(np.cumsum(widths) - widths, sizes)
-        begins = np.fromiter(chain.from_iterable([f[1] for f in found]), dtype=np.int64, count=len(ids)) + base
-        ends = np.fromiter(chain.from_iterable([f[2] for f in found]), dtype=np.int64, count=len(ids)) + base
-        return ids, normal.starts[begins], normal.starts[ends], ",".join([f[3] for f in found])
-
-
-def _joined_unknown(ids, begins, ends, unknown):
-    """Neighbouring unknown characters are one piece."""
-    kept: list[list[int]] = []
-    for i, b, e in zip(ids, begins, ends):
-        if kept and i == unknown == kept[-1][0]:
-            kept[-1][2] = e
-        else:
-            kept.append([i, b, e])
-    return [k[0] for k in kept], [k[1] for k in kept], [k[2] for k in kept]
+        widths = np.frombuffer(b"".join([f[1] for f in found]), dtype=np.int32)
+        ends = np.cumsum(widths, dtype=np.int64)
+        return ids, normal.starts[ends - widths], normal.starts[ends]
+
+    def joined(self, ids: list[int]) -> str:
+        return ",".join(map(self.names.__getitem__, ids))
 
 
 def _char_starts(source: bytes) -> np.ndarray:
@@ -310,9 +339,9 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
         def rows(texts):
             counts, ids_sha, text_sha, covered = [], [], [], []
             for text in texts:
-                ids, begins, ends, joined = model.encode(text or b"")
+                ids, begins, ends = model.encode(text or b"")
                 counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
+                ids_sha.append(hashlib.sha256(model.joined(ids).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(library.decode(ids).encode()).hexdigest())
                 covered.append(int((ends - begins).sum()))
             return [counts, ids_sha, text_sha, covered]
