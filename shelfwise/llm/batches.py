@@ -92,6 +92,19 @@ def field(name: str, kind: str | T.DataType) -> T.StructField:
     return T.StructField(name, T._parse_datatype_string(kind) if isinstance(kind, str) else kind)
 
 
+_KEPT: dict[tuple[str, int], Any] = {}
+
+
+def kept_in_worker(kind: str, data: bytes, build: Callable[[bytes], Any]) -> Any:
+    """``build(data)``, once for each Python worker: its next task finds it, caches included."""
+    key = (kind, hash(data))
+    if key not in _KEPT:
+        for old in [k for k in _KEPT if k[0] == kind]:
+            del _KEPT[old]
+        _KEPT[key] = build(data)
+    return _KEPT[key]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)

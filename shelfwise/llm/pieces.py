@@ -21,14 +21,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.batches import field, named, with_columns
+from shelfwise.llm.batches import field, kept_in_worker, named, with_columns
 
 #: Fixed values of the model format: field numbers, kinds of pieces, the space symbol.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 SPACE = "▁"
-_KEEP_CHUNKS = 200_000
+_KEEP_CHUNKS = 300_000
 _SHORT, _REMEMBERED, _NONE = 40, 64, float("inf")
 
 
@@ -303,7 +303,7 @@ def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None) -> D
     shared = _loaded(docs.sparkSession, model_path)
 
     def make():
-        model = Model(shared.value)
+        model = kept_in_worker("pieces", shared.value, Model)
 
         def rows(texts):
             out = [model.encode(t or b"") for t in texts]
@@ -334,7 +334,7 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
     shared = _loaded(docs.sparkSession, model_path)
 
     def make():
-        model, library = Model(shared.value), sentencepiece.SentencePieceProcessor(model_proto=shared.value)
+        model, library = kept_in_worker("pieces", shared.value, Model), sentencepiece.SentencePieceProcessor(model_proto=shared.value)
 
         def rows(texts):
             counts, ids_sha, text_sha, covered = [], [], [], []

@@ -15,7 +15,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from shelfwise.llm.batches import field, named, with_columns
+from shelfwise.llm.batches import field, kept_in_worker, named, with_columns
 
 #: Fixed values of the vocabulary: what a word is, and the mark of its last piece.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -124,7 +124,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, keep: list[str] | None =
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a file of a few MB, not of the corpus
 
     def make():
-        counts = Counts(Automaton(load_vocabulary(shared.value)))
+        counts = kept_in_worker("words", shared.value, lambda data: Counts(Automaton(load_vocabulary(data))))
 
         def rows(texts):
             n_words, n_tokens = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
