@@ -124,8 +124,11 @@ def references(docs: DataFrame, lang_column: str = "lang", text_column: str = "t
     counted = stored(given.mapInArrow(_tallied, _TALLY).groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     is_class = F.col("word").startswith(F.lit(" ").cast("binary"))
     total = counted.where(~is_class).groupBy("lang").agg(F.sum("n").alias("total"))
-    # The totals have a row for each language; a word below 1 in 1,000 of the smallest is dropped before the join.
-    joined = counted.hint("merge").join(total.hint("merge"), "lang", "left")
+    total = stored(total, "totals")
+    size = total.agg(F.coalesce(F.sum(F.length("lang") + 100), F.lit(0))).first()[0]
+    if size > REFERENCE_BYTES:
+        raise ValueError(f"totals of {size} bytes: too many languages for one table in memory")
+    joined = counted.join(F.broadcast(total), "lang", "left")
     return joined.where(is_class | (F.col("n") >= common * F.col("total"))).select("lang", "word", "n", F.coalesce("total", F.lit(0)).alias("total"))
 
 
