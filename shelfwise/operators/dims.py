@@ -16,9 +16,12 @@ CHUNK_BITS = 16
 def first_row_per_key(df: DataFrame, key: str, values: Sequence[str], order: str = "created_at") -> DataFrame:
     """One row of ``values`` per key: the earliest by ``order``, ties by the values themselves.
 
+    Nulls come last, both as times and as values.
+
     A minimum combines on the map side, so a hot key reaches the shuffle as one row per task.
     """
-    earliest = df.groupBy(key).agg(F.min(F.struct(order, *values)).alias("earliest"))
+    ranked = [x for c in (order, *values) for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    earliest = df.groupBy(key).agg(F.min(F.struct(*ranked)).alias("earliest"))
     return earliest.select(key, *[F.col(f"earliest.{c}").alias(c) for c in values])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from itertools import product
-from math import ceil, isnan
+from math import isnan
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -19,8 +19,8 @@ from shelfwise.operators.evaluation import baseline_rmse, improvement_pct, rmse,
 from shelfwise.session import ensure_checkpoint_dir
 
 SEED = 42
-RATINGS_PER_BLOCK = 2_000_000
-MAX_BLOCKS = 1000
+#: Factor blocks of each side; about one for two million ratings is a good size.
+BLOCKS = 8
 
 
 @dataclass(frozen=True)
@@ -41,20 +41,13 @@ def full_grid() -> list[Params]:
     return [Params(*values) for values in product(RANKS, REGS, ITERATIONS)]
 
 
-def _block_count(ratings: DataFrame) -> int:
-    """Enough factor blocks that each holds a bounded share of the ratings on average.
+def als_train(ratings: DataFrame, params: Params, seed: int = SEED, blocks: int = BLOCKS) -> ALSModel:
+    """Explicit-feedback ALS. Repeated (user, item) rows are separate observations.
 
-    The upper bound only limits the block grid, whose bookkeeping grows with its
-    square; it drops no ratings.
+    The factors start from ``seed`` in each block, so ``blocks`` is part of the model: it
+    never follows the cluster or the table. Raise it until a block of ratings fits a task.
     """
-    cores = ratings.sparkSession.sparkContext.defaultParallelism
-    return max(min(ceil(ratings.count() / RATINGS_PER_BLOCK), MAX_BLOCKS), min(cores, 4))
-
-
-def als_train(ratings: DataFrame, params: Params, seed: int = SEED, blocks: int | None = None) -> ALSModel:
-    """Explicit-feedback ALS. Repeated (user, item) rows are separate observations."""
     ensure_checkpoint_dir(ratings.sparkSession)
-    blocks = blocks or _block_count(ratings)
     als = ALS(
         rank=params.rank,
         maxIter=params.iterations,
@@ -124,6 +117,7 @@ def als_grid_search(
     fit_on: str = TRAIN,
     seed: int = SEED,
     parallelism: int = 4,
+    blocks: int = BLOCKS,
 ) -> GridResult:
     """Fit every setting, keep the one of the lowest validation error.
 
@@ -134,7 +128,6 @@ def als_grid_search(
     grid = list(grid or full_grid())
     fitting = split_ratings if fit_on == "all" else split_ratings.where(F.col("split") == fit_on)
     validation = split_ratings.where(F.col("split") == VALIDATION)
-    blocks = _block_count(fitting)
 
     @inheritable_thread_target(split_ratings.sparkSession)
     def trial(params: Params) -> tuple[ALSModel, float]:

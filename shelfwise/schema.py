@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 # Log layouts, action codes, rule types, table and topic names.
 LOG_V1 = T.StructType(
     [
-        T.StructField("user_id", T.IntegerType()),
-        T.StructField("item_id", T.IntegerType()),
-        T.StructField("cat_id", T.IntegerType()),
-        T.StructField("brand_id", T.IntegerType()),
-        T.StructField("merchant_id", T.IntegerType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("item_id", T.LongType()),
+        T.StructField("cat_id", T.LongType()),
+        T.StructField("brand_id", T.LongType()),
+        T.StructField("merchant_id", T.LongType()),
         T.StructField("action", T.IntegerType()),
         T.StructField("gender", T.IntegerType()),
         T.StructField("age_range", T.IntegerType()),
@@ -22,10 +22,10 @@ LOG_V1 = T.StructType(
 )
 LOG_V2 = T.StructType(
     [
-        T.StructField("customer_id", T.IntegerType()),
-        T.StructField("item_id", T.IntegerType()),
-        T.StructField("category_id", T.IntegerType()),
-        T.StructField("brand_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("item_id", T.LongType()),
+        T.StructField("category_id", T.LongType()),
+        T.StructField("brand_id", T.LongType()),
         T.StructField("action", T.IntegerType()),
         T.StructField("unix_created_at", T.LongType()),
     ]
@@ -44,7 +44,7 @@ USER_TABLE = "spark_user_info"
 ITEM_TABLE = "spark_product_info"
 RATING_TABLE = "spark_rating_info"
 RULE_TABLE = "spark_filter_setting"
-RECOMMENDATION_TABLE = "spark_recommendation"
+RECOMMENDATION_TABLE = "recommended_items"
 RESULT_TOPIC = "RecommendResult"
 
 RENAMED = {"customer_id": "user_id", "category_id": "cat_id", "unix_created_at": "created_at"}
