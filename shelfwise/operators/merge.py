@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.sizing import sized
+from shelfwise.operators.sizing import sized, written_and_small
 
 
 def replace_by_key(table: DataFrame, new_rows: DataFrame, key: str = "user_id") -> DataFrame:
@@ -27,23 +27,24 @@ def upsert_by_key(
 
     The last update per key by ``order`` counts (ties by the values). An explicit
     null in an update wins. Columns the update lacks keep their value, or are null
-    in an inserted row.
+    in an inserted row. Small changes are broadcast, which leaves the table unshuffled
+    but scans its keys a second time; larger ones meet it in one full outer join.
     """
     keys = list(keys)
     fields = [c for c in updates.columns if c not in (*keys, order)]
     if order in table.columns and order not in keys:
         fields.append(order)
-    last = sized(
-        updates.groupBy(*keys).agg(F.max_by(F.struct(*fields), F.struct(order, *fields)).alias("pending"))
-    )
-    merged = table.join(last, keys, "left").select(
-        *[
-            F.when(F.col("pending").isNotNull(), F.col(f"pending.{c}")).otherwise(F.col(c)).alias(c)
-            if c in fields
-            else F.col(c)
-            for c in table.columns
-        ]
-    )
+    changes = updates.groupBy(*keys).agg(F.max_by(F.struct(*fields), F.struct(order, *fields)).alias("pending"))
+    last, small = written_and_small(changes)
+    pending = F.col("pending")
+    merged = [
+        F.when(pending.isNotNull(), pending[c]).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
+        for c in table.columns
+    ]
+    if not small:
+        return table.join(last.hint("merge"), keys, "full").select(*merged)
+    last = F.broadcast(last)
     known = table.select(*keys).join(last.select(*keys), keys, "left_semi").distinct()
     inserted = last.join(known, keys, "left_anti").select(*keys, "pending.*")
-    return merged.unionByName(inserted, allowMissingColumns=True).select(*table.columns)
+    updated = table.join(last, keys, "left").select(*merged)
+    return updated.unionByName(inserted, allowMissingColumns=True).select(*table.columns)

@@ -48,6 +48,23 @@ def test_settings_are_the_distinct_active_rules(spark, rows):
     assert rows(exclusions.exclusion_settings(rules)) == [("Brand", 1)]
 
 
+@pytest.mark.parametrize("kind", ["Product", "Category"])
+def test_ratings_are_scanned_once(spark, tmp_path, kind):
+    path = str(tmp_path / "ratings")
+    spark.createDataFrame(RATINGS, "user_id long, item_id long").write.parquet(path)
+    items = spark.createDataFrame(ITEMS, "item_id long, cat_id long, brand_id long")
+    out = exclusions.exclusion_filter(spark.read.parquet(path), items, spark.createDataFrame([(kind, 1, 1)], RULES))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema") == 2 and plan.count("ReadSchema: struct<user_id") == 1
+
+
+def test_an_item_with_several_rows_needs_all_of_them_allowed(spark):
+    ratings = spark.createDataFrame([(1, 10), (1, 11)], "user_id long, item_id long")
+    items = spark.createDataFrame([(10, 1, 1), (10, 2, 1), (11, 2, 1)], "item_id long, cat_id long, brand_id long")
+    rules = spark.createDataFrame([("Category", 1, 1)], RULES)
+    assert [r.item_id for r in exclusions.exclusion_filter(ratings, items, rules).collect()] == [11]
+
+
 @pytest.mark.parametrize("kind", ["Product", "Category"])
 def test_a_hot_item_is_split_when_the_block_list_is_too_large_to_broadcast(spark, monkeypatch, kind):
     original = sizing.sized

@@ -5,9 +5,8 @@ from shelfwise.operators import merge, sizing
 
 @pytest.fixture(params=["broadcast", "merge"])
 def join(request, monkeypatch):
-    limit = sizing.BROADCAST_BYTES if request.param == "broadcast" else -1
-    original = sizing.sized
-    monkeypatch.setattr(merge, "sized", lambda df: original(df, limit))
+    if request.param == "merge":
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
     return request.param
 
 
@@ -42,8 +41,24 @@ def test_upsert_stores_the_order_column_if_the_table_has_it(spark, rows):
     assert rows(out, "id") == [(1, 2.0, 20), (2, 3.0, 21)]
 
 
-def test_only_fixed_width_rows_are_ever_broadcast(spark):
-    text = spark.createDataFrame([("a", 1)], "s string, n int")
-    number = spark.createDataFrame([(1, 1)], "k long, n int")
-    assert sizing._row_width(text.schema) is None
-    assert sizing._row_width(number.schema) == 48
+def test_upsert_keeps_rows_without_a_key(spark, rows, join):
+    table = spark.createDataFrame([(None, 1), (2, 2)], "id int, n int")
+    updates = spark.createDataFrame([(2, 5, 1)], "id int, n int, seq int")
+    assert rows(merge.upsert_by_key(table, updates, ["id"], "seq"), "id") == [(None, 1), (2, 5)]
+
+
+def test_large_changes_meet_the_table_in_one_join(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    updates = spark.createDataFrame([(2, "x", 5)], "id int, name string, seq int")
+    plan = merge.upsert_by_key(table, updates, ["id"], "seq")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "FullOuter" in plan
+
+
+def test_texts_are_measured(spark):
+    df = spark.createDataFrame([("a", 1), ("bcd", 2), (None, 3)], "s string, n int")
+    assert sizing.measured_bytes(df) == 3 * (16 + 24 + 16) + 4
+    assert sizing.measured_bytes(df.where("n > 9")) == 0
+    assert sizing.measured_bytes(spark.createDataFrame([([1],)], "a array<int>")) is None
+    nested = spark.createDataFrame([((1, "ab"),)], "p struct<n: int, s: string>")
+    assert sizing.measured_bytes(nested) == 16 + 8 + 16 + 26
