@@ -91,6 +91,12 @@ def orders_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_ratings(orders_log(spark, sf_dir))
 
 
+def timed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide ratings, moved by some seconds each, as orders have a day only and would share one split."""
+    seconds = (7 * F.col("user_id") + F.col("item_id")) % 10
+    return orders_ratings(spark, sf_dir).withColumn("created_at", F.col("created_at") + seconds)
+
+
 def orders_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_dim(orders_log(spark, sf_dir))
 

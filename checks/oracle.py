@@ -102,6 +102,14 @@ FROM (SELECT user_id, item_id, count(CASE WHEN action = 0 THEN item_id END) AS v
 CTES["ratings"] = (("log",), _rated("log", "0.05"))
 CTES["raw_ratings"] = (("log",), _rated("log", "0.005"))
 CTES["wide_ratings"] = (("wide",), _rated("wide", "0.05"))
+CTES["timed"] = (
+    ("wide_ratings",),
+    """SELECT user_id, item_id, rating, created_at + (7 * user_id + item_id) % 10 AS created_at, updated_at
+FROM wide_ratings""",
+)
+CTES["timed_split"] = (("timed",), CTES["split"][1].replace("FROM ratings", "FROM timed"))
+CTES["timed_base"] = (("timed_split",), CTES["base"][1].replace("FROM split", "FROM timed_split"))
+CTES["timed_allowed"] = (("timed", "rules"), CTES["allowed"][1].replace("ratings", "timed"))
 CTES["first_half"] = (("log",), _rated("log", "0.05", f"created_at < {MIDDLE}"))
 CTES["last_day"] = (("log",), _rated("log", "0.05", f"created_at >= {AS_OF} - 86400"))
 
@@ -347,5 +355,40 @@ ORACLE["job_stream_coverage"] = _with(
     "ratings",
     "messages",
 )
+ORACLE["als_train"] = _with(
+    """SELECT user_id, count(*) AS n_ratings, CAST(12 AS BIGINT) AS n_factors, TRUE AS solved
+FROM wide_ratings GROUP BY user_id""",
+    "wide_ratings",
+)
+ORACLE["als_predict"] = _with(
+    """SELECT user_id, item_id, round(rating, 6) AS rating, TRUE AS exact FROM timed_split WHERE split = 'test'
+  AND user_id IN (SELECT user_id FROM timed_split WHERE split <> 'test')
+  AND item_id IN (SELECT item_id FROM timed_split WHERE split <> 'test')""",
+    "timed_split",
+)
+ORACLE["als_grid_search"] = """SELECT CAST(row_number() OVER (ORDER BY rank, reg, iterations) - 1 AS INTEGER) AS trial,
+  rank, reg, iterations, TRUE AS finite, TRUE AS best_is_lowest
+FROM (SELECT unnest([8, 12]) AS rank), (SELECT CAST(unnest([0.01, 0.1]) AS DOUBLE) AS reg),
+  (SELECT unnest([10, 20]) AS iterations)"""
+ORACLE["model_save"] = _with(
+    """SELECT 'user' AS side, CAST(user_id AS INTEGER) AS id, TRUE AS same FROM wide_ratings GROUP BY user_id
+UNION ALL SELECT 'item', CAST(item_id AS INTEGER), TRUE FROM wide_ratings GROUP BY item_id""",
+    "wide_ratings",
+)
+ORACLE["model_load"] = _with(
+    "SELECT user_id, item_id, round(rating, 6) AS rating, TRUE AS same FROM wide_ratings", "wide_ratings"
+)
+ORACLE["job_incremental"] = _with(
+    """SELECT user_id, CASE WHEN active THEN now ELSE 0 END AS created_at, CASE WHEN active THEN size ELSE 1 END AS n_items,
+  CAST(CASE WHEN active THEN size ELSE 1 END AS INTEGER) AS last_rank, TRUE AS allowed, TRUE AS falls
+FROM (SELECT user_id, now, max(updated_at) >= now - 86400 AS active
+    FROM timed_allowed, (SELECT max(updated_at) AS now FROM timed_allowed) GROUP BY user_id, now),
+  (SELECT least(count(DISTINCT item_id), 300) AS size FROM timed_allowed)""",
+    "timed_allowed",
+)
+LISTS = """SELECT user_id, {messages}least(n, 200) AS n_items, TRUE AS sound
+FROM (SELECT DISTINCT user_id FROM messages WHERE is_valid), (SELECT count(DISTINCT item_id) AS n FROM wide_ratings)"""
+ORACLE["stream_retrain_recommend"] = _with(LISTS.format(messages=""), "wide_ratings", "messages")
+ORACLE["job_stream"] = _with(LISTS.format(messages="CAST(1 AS BIGINT) AS n_messages, "), "wide_ratings", "messages")
 ORACLE["parse_event"] = ORACLE["stream_source"]
 ORACLE["recs_flatten"] = ORACLE["recs_publish"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.bindings import (
@@ -19,6 +19,7 @@ from checks.bindings import (
     part_items,
     split_ratings,
     table,
+    timed_ratings,
     vectors,
 )
 from shelfwise import schema
@@ -36,7 +37,7 @@ from shelfwise.plans.recommend import (
     recs_publish,
     stamped,
 )
-from shelfwise.plans.warehouse import file_warehouse, stored_ratings
+from shelfwise.plans.warehouse import file_warehouse, recommendable_ratings, stored_ratings
 from shelfwise.session import scratch_path
 from shelfwise.sources.csv_log import csv_log_scan
 from shelfwise.sources.tables import Table, table_append, table_overwrite, table_scan
@@ -247,13 +248,29 @@ def stream_sink(spark, sf_dir):
 def stream_retrain_recommend(spark, sf_dir):
     path = scratch_path(spark, "stream")
     handler = retrain.Retrainer(
-        load_base=lambda: events_ratings(spark, sf_dir),
+        load_base=lambda: orders_ratings(spark, sf_dir),
         history_path=f"{path}/history",
         sink_format="parquet",
         sink_options={"path": f"{path}/published"},
     )
     drained(spark, message_stream(spark, sf_dir), handler)
-    return spark.read.parquet(f"{path}/published")
+    return message_facts(spark.read.parquet(f"{path}/published")).drop("n_messages")
+
+
+def message_facts(published: DataFrame) -> DataFrame:
+    """Per user: messages, items of a list, and whether each list is of that user alone and falls."""
+    lists = published.select(F.from_json("value", "array<struct<user:long, product:long, rating:double>>").alias("l"))
+    ratings = F.transform("l", lambda r: r["rating"])
+    one = F.size(F.array_distinct(F.transform("l", lambda r: r["user"]))) == 1
+    return (
+        lists.select(
+            F.col("l")[0]["user"].alias("user_id"),
+            F.size(F.array_distinct(F.transform("l", lambda r: r["product"]))).cast("long").alias("n_items"),
+            (one & (ratings == F.sort_array(ratings, asc=False))).alias("sound"),
+        )
+        .groupBy("user_id")
+        .agg(F.count(F.lit(1)).alias("n_messages"), F.max("n_items").alias("n_items"), F.bool_and("sound").alias("sound"))
+    )
 
 
 # --- projections, filters, predicates ------------------------------------------
@@ -565,51 +582,110 @@ def score_all_pairs(spark, sf_dir):
     return rounded(topk.score_all_pairs(every, every), "min_score", "max_score", "mean_score")
 
 
-# --- model -----------------------------------------------------------------------
+# --- model: what must hold for a trained result, as flags ---------------------------
+
+
+def wide_split(spark, sf_dir) -> DataFrame:
+    return evaluation.assign_split(timed_ratings(spark, sf_dir))
+
+
+def with_factors(trained, pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the vectors u and v, and their product."""
+    users = model.user_factors(trained).select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("u"))
+    items = model.item_factors(trained).select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("v"))
+    products = F.zip_with("u", "v", lambda a, b: a.cast("double") * b.cast("double"))
+    dot = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    return pairs.join(users, "user_id").join(items, "item_id").withColumn("dot", dot)
 
 
 @query
 def als_train(spark, sf_dir):
-    trained = model.als_train(events_ratings(spark, sf_dir), model.FIXED_PARAMS)
-    return model.item_factors(trained)
+    """A user's vector is the least-squares solution for the item vectors, so no factor has a slope left."""
+    ratings, params = orders_ratings(spark, sf_dir), model.FIXED_PARAMS
+    terms = F.zip_with("u", "v", lambda a, b: F.struct(a.cast("double").alias("u"), b.cast("double").alias("v")))
+    each = with_factors(model.als_train(ratings, params), ratings).select(
+        "user_id", (F.col("dot") - F.col("rating")).alias("error"), F.posexplode(terms).alias("factor", "of")
+    )
+    count = F.count(F.lit(1))
+    slope = F.sum(F.col("error") * F.col("of.v")) + params.reg * count * F.max("of.u")
+    slopes = each.groupBy("user_id", "factor").agg(count.alias("n_ratings"), slope.alias("slope"))
+    return slopes.groupBy("user_id").agg(
+        F.max("n_ratings").alias("n_ratings"),
+        F.count(F.lit(1)).alias("n_factors"),
+        (F.max(F.abs("slope")) < 1e-3).alias("solved"),
+    )
 
 
 @query
 def als_predict(spark, sf_dir):
-    ratings = split_ratings(spark, sf_dir)
+    ratings = wide_split(spark, sf_dir)
     trained = model.als_train(ratings.where(F.col("split") != TEST), model.FIXED_PARAMS)
     test = ratings.where(F.col("split") == TEST).select("user_id", "item_id", "rating")
-    return rounded(model.als_predict(trained, test), "rating", "prediction")
+    scored = with_factors(trained, model.als_predict(trained, test))
+    exact = (F.abs(F.col("prediction") - F.col("dot")) < 1e-4).alias("exact")
+    return rounded(scored.select("user_id", "item_id", "rating", exact), "rating")
 
 
 @query
 def als_grid_search(spark, sf_dir):
-    with model.persisted(split_ratings(spark, sf_dir)) as ratings:
-        return model.als_grid_search(ratings).metrics_table(spark)
+    with model.persisted(wide_split(spark, sf_dir)) as ratings:
+        found = model.als_grid_search(ratings)
+    metrics = found.metrics_table(spark)
+    lowest = min((m["rmse"], m["trial"]) for m in found.metrics)[1]
+    best = (F.col("rank") == found.best.rank) & (F.col("reg") == found.best.reg) & (F.col("iterations") == found.best.iterations)
+    return metrics.select(
+        "trial",
+        "rank",
+        "reg",
+        "iterations",
+        (F.col("rmse") < float("inf")).alias("finite"),
+        (best == (F.col("trial") == lowest)).alias("best_is_lowest"),
+    )
+
+
+def report_facts(report: DataFrame) -> DataFrame:
+    """Counts and baseline of a report, and whether setting, error and gain are consistent."""
+    gain = (F.col("baseline_rmse") - F.col("test_rmse")) / F.col("baseline_rmse") * 100
+    tuned = F.col("rank").isin(*model.RANKS) & F.col("reg").isin(*model.REGS) & F.col("iterations").isin(*model.ITERATIONS)
+    sound = tuned & (F.col("test_rmse") < float("inf")) & (F.abs(gain - F.col("improvement_pct")) < 1e-9)
+    out = report.withColumn("sound", sound).drop("rank", "reg", "iterations", "test_rmse", "improvement_pct")
+    return rounded(out, "mean_rating", "baseline_rmse")
 
 
 @query
 def model_report(spark, sf_dir):
-    with model.persisted(split_ratings(spark, sf_dir)) as ratings:
-        return model.model_report(ratings, model.als_grid_search(ratings, [model.FIXED_PARAMS]))
+    with model.persisted(wide_split(spark, sf_dir)) as ratings:
+        return report_facts(model.model_report(ratings, model.als_grid_search(ratings)))
 
 
-def saved_and_loaded(spark, sf_dir):
+def trained_and_loaded(spark, sf_dir):
     path = scratch_path(spark, "model")
-    model.model_save(model.als_train(events_ratings(spark, sf_dir), model.FIXED_PARAMS), path)
-    return model.model_load(path)
+    trained = model.als_train(orders_ratings(spark, sf_dir), model.FIXED_PARAMS)
+    model.model_save(trained, path)
+    return trained, model.model_load(path)
 
 
 @query
 def model_save(spark, sf_dir):
-    return model.item_factors(saved_and_loaded(spark, sf_dir))
+    """Every stored vector equals the trained one."""
+    trained, loaded = trained_and_loaded(spark, sf_dir)
+
+    def compared(side: str, of) -> DataFrame:
+        stored = of(loaded).select("id", F.col("features").alias("stored"))
+        same = F.col("features") == F.col("stored")
+        return of(trained).join(stored, "id").select(F.lit(side).alias("side"), "id", same.alias("same"))
+
+    return compared("user", model.user_factors).unionByName(compared("item", model.item_factors))
 
 
 @query
 def model_load(spark, sf_dir):
-    loaded = saved_and_loaded(spark, sf_dir)
-    pairs = events_ratings(spark, sf_dir).select("user_id", "item_id", "rating")
-    return rounded(model.als_predict(loaded, pairs), "rating", "prediction")
+    """The loaded model predicts what the trained one does."""
+    trained, loaded = trained_and_loaded(spark, sf_dir)
+    pairs = orders_ratings(spark, sf_dir).select("user_id", "item_id", "rating")
+    both = model.als_predict(loaded, model.als_predict(trained, pairs).withColumnRenamed("prediction", "first"))
+    same = (F.col("first") == F.col("prediction")).alias("same")
+    return rounded(both.select("user_id", "item_id", "rating", same), "rating")
 
 
 # --- jobs ------------------------------------------------------------------------
@@ -640,30 +716,73 @@ def job_import_raw_profiles(spark, sf_dir):
     return table_scan(spark, tables[schema.USER_TABLE])
 
 
+def wide_warehouse(spark, sf_dir):
+    """Stored ratings of the orders, enough items for the longest lists."""
+    tables = file_warehouse(scratch_path(spark, "warehouse"))
+    table_overwrite(timed_ratings(spark, sf_dir), tables[schema.RATING_TABLE])
+    table_overwrite(part_items(spark, sf_dir), tables[schema.ITEM_TABLE])
+    table_overwrite(exclusion_rules(spark, sf_dir), tables[schema.RULE_TABLE])
+    return tables
+
+
+def list_facts(recs: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Per list: its size, and whether all its items are allowed and the scores fall with the rank."""
+    known = allowed.select("item_id").distinct().withColumn("known", F.lit(True))
+    before = F.lag("rating").over(Window.partitionBy("user_id", "created_at").orderBy("rank"))
+    falls = F.coalesce(before >= F.col("rating") - 1e-8, F.lit(True))
+    return (
+        recs.withColumn("falls", falls)
+        .join(known, "item_id", "left")
+        .groupBy("user_id", "created_at")
+        .agg(
+            F.count_distinct("item_id").alias("n_items"),
+            F.max("rank").alias("last_rank"),
+            F.bool_and(F.col("known").isNotNull()).alias("allowed"),
+            F.bool_and("falls").alias("falls"),
+        )
+    )
+
+
 @query_named("job_train")
 def job_train_report(spark, sf_dir):
-    tables = warehouse(spark, sf_dir)
-    return job_train(spark, tables, scratch_path(spark, "model"))
+    tables = wide_warehouse(spark, sf_dir)
+    return report_facts(job_train(spark, tables, scratch_path(spark, "model")))
 
 
 @query_named("job_offline")
+def job_offline_lists(spark, sf_dir):
+    tables = wide_warehouse(spark, sf_dir)
+    job_offline(spark, tables, AS_OF)
+    return list_facts(table_scan(spark, tables[schema.RECOMMENDATION_TABLE]), recommendable_ratings(spark, tables))
+
+
+@query_named("job_incremental")
+def job_incremental_lists(spark, sf_dir):
+    """A refresh at the last change of a rating, over a table that holds an old list of one item for every user."""
+    tables = wide_warehouse(spark, sf_dir)
+    ratings = recommendable_ratings(spark, tables)
+    old = ratings.groupBy("user_id").agg(F.min("item_id").alias("item_id"))
+    old = old.withColumns({"rating": F.lit(1.0), "rank": F.lit(1)})
+    table_overwrite(stamped(old, 0), tables[schema.RECOMMENDATION_TABLE])
+    job_incremental(spark, tables, ratings.agg(F.max("updated_at")).first()[0])
+    return list_facts(table_scan(spark, tables[schema.RECOMMENDATION_TABLE]), ratings)
+
+
 def job_offline_recs(spark, sf_dir):
     tables = warehouse(spark, sf_dir)
     job_offline(spark, tables, AS_OF)
     return table_scan(spark, tables[schema.RECOMMENDATION_TABLE])
 
 
-@query_named("job_incremental")
 def job_incremental_recs(spark, sf_dir):
     tables = warehouse(spark, sf_dir)
     job_incremental(spark, tables, AS_OF)
     return table_scan(spark, tables[schema.RECOMMENDATION_TABLE])
 
 
-@query_named("job_stream")
-def job_stream_messages(spark, sf_dir):
+def streamed_messages(spark, sf_dir, base: DataFrame) -> DataFrame:
     tables = file_warehouse(scratch_path(spark, "warehouse"))
-    table_overwrite(events_ratings(spark, sf_dir), tables[schema.RATING_TABLE])
+    table_overwrite(base, tables[schema.RATING_TABLE])
     work, source = scratch_path(spark, "stream"), scratch_path(spark, "messages")
     message_text(spark, sf_dir).write.text(source)
     stream = job_stream(
@@ -678,23 +797,34 @@ def job_stream_messages(spark, sf_dir):
     return spark.read.parquet(f"{work}/published")
 
 
+@query_named("job_stream")
+def job_stream_lists(spark, sf_dir):
+    return message_facts(streamed_messages(spark, sf_dir, orders_ratings(spark, sf_dir)))
+
+
 # --- what is certain about a trained result: who and what it covers ----------------
 
 
 @query
 def als_train_coverage(spark, sf_dir):
-    return als_train(spark, sf_dir).select("id", F.size("features").alias("n_features"))
+    trained = model.als_train(events_ratings(spark, sf_dir), model.FIXED_PARAMS)
+    return model.item_factors(trained).select("id", F.size("features").alias("n_features"))
 
 
 @query
 def als_predict_coverage(spark, sf_dir):
-    scored = als_predict(spark, sf_dir)
+    ratings = split_ratings(spark, sf_dir)
+    trained = model.als_train(ratings.where(F.col("split") != TEST), model.FIXED_PARAMS)
+    test = ratings.where(F.col("split") == TEST).select("user_id", "item_id", "rating")
+    scored = rounded(model.als_predict(trained, test), "rating")
     return scored.select("user_id", "item_id", "rating", F.col("prediction").isNotNull().alias("scored"))
 
 
 @query
 def model_report_coverage(spark, sf_dir):
-    report = model_report(spark, sf_dir).drop("test_rmse", "improvement_pct", "reg")
+    with model.persisted(split_ratings(spark, sf_dir)) as ratings:
+        report = model.model_report(ratings, model.als_grid_search(ratings, [model.FIXED_PARAMS]))
+    report = report.drop("test_rmse", "improvement_pct", "reg")
     return rounded(report, "mean_rating", "baseline_rmse")
 
 
@@ -719,7 +849,7 @@ def job_stream_coverage(spark, sf_dir):
     lists = F.from_json("value", "array<struct<user:long, product:long, rating:double>>")
     products = F.explode(lists).alias("r")
     return (
-        job_stream_messages(spark, sf_dir)
+        streamed_messages(spark, sf_dir, events_ratings(spark, sf_dir))
         .select(products)
         .groupBy(F.col("r.user").alias("user_id"))
         .agg(F.count_distinct("r.product").alias("n_items"))
