@@ -9,12 +9,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import boilerplate, chat, decontamination, pieces, quality, scoring, secrets, simhash, toxicity, wordpiece
+from shelfwise.llm import (
+    boilerplate,
+    chat,
+    decontamination,
+    pieces,
+    quality,
+    repeats,
+    scoring,
+    secrets,
+    simhash,
+    spelling,
+    toxicity,
+    urls,
+    wordpiece,
+)
 from shelfwise.llm.batches import stored, table
+from shelfwise.llm.oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -88,6 +102,25 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Verdict, host and path of the rules.
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+@query
+def op11_url_filters(spark, sf_dir):
+    return urls.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    return repeats.run_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), planted=True)
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
