@@ -367,7 +367,7 @@ ORACLE["als_predict"] = _with(
     "timed_split",
 )
 ORACLE["als_grid_search"] = """SELECT CAST(row_number() OVER (ORDER BY rank, reg, iterations) - 1 AS INTEGER) AS trial,
-  rank, reg, iterations, TRUE AS finite, TRUE AS best_is_lowest
+  rank, reg, iterations, TRUE AS error_holds, TRUE AS solved, TRUE AS best_is_lowest
 FROM (SELECT unnest([8, 12]) AS rank), (SELECT CAST(unnest([0.01, 0.1]) AS DOUBLE) AS reg),
   (SELECT unnest([10, 20]) AS iterations)"""
 ORACLE["model_save"] = _with(
@@ -386,6 +386,69 @@ FROM (SELECT user_id, now, max(updated_at) >= now - 86400 AS active
   (SELECT least(count(DISTINCT item_id), 300) AS size FROM timed_allowed)""",
     "timed_allowed",
 )
+CTES["faults"] = (
+    ("log",),
+    """SELECT *, CASE WHEN event_id % 50 IN (0, 1, 6) THEN 'malformed' WHEN event_id % 50 = 2 THEN 'no user'
+    WHEN event_id % 50 = 4 THEN 'no item' END AS reason,
+  concat(CASE event_id % 50 WHEN 2 THEN '' WHEN 5 THEN '1099511627776' ELSE CAST(user_id AS VARCHAR) END, ',',
+    CASE event_id % 50 WHEN 0 THEN 'abc' WHEN 4 THEN '' ELSE CAST(item_id AS VARCHAR) END, ',,,',
+    CASE event_id % 50 WHEN 1 THEN '2.0' ELSE coalesce(CAST(action AS VARCHAR), '') END, ',',
+    CASE event_id % 50 WHEN 6 THEN 'NaN' ELSE CAST(created_at AS VARCHAR) END) AS line
+FROM log""",
+)
+ORACLE["csv_log_rejects"] = _with("SELECT line, reason FROM faults WHERE reason IS NOT NULL", "faults")
+ORACLE["job_import_raw_faults"] = _with(
+    """SELECT user_id, item_id, round(least(5.0, (views * 0.005 * 100 + CAST(carts > 0 AS INT) * 0.35 * 100
+    + CAST(buys > 0 AS INT) * 0.45 * 100 + CAST(favs > 0 AS INT) * 0.15 * 100) / 20.0), 6)::DOUBLE AS rating,
+  malformed AS n_malformed, users AS n_no_user, items AS n_no_item, malformed + users + items AS n_kept
+FROM (SELECT user_id, item_id, count(CASE WHEN action = 0 THEN 1 END) AS views, count(CASE WHEN action = 1 THEN 1 END) AS carts,
+    count(CASE WHEN action = 2 THEN 1 END) AS buys, count(CASE WHEN action = 3 THEN 1 END) AS favs
+  FROM (SELECT CASE WHEN event_id % 50 = 5 THEN 1099511627776 ELSE user_id END AS user_id, item_id, action
+    FROM faults WHERE reason IS NULL AND action IS NOT NULL) GROUP BY ALL),
+  (SELECT count(CASE WHEN reason = 'malformed' THEN 1 END) AS malformed, count(CASE WHEN reason = 'no user' THEN 1 END) AS users,
+    count(CASE WHEN reason = 'no item' THEN 1 END) AS items FROM faults)""",
+    "faults",
+)
+ORACLE["stream_rejects"] = _with(
+    """SELECT value, reason FROM (
+  SELECT concat('{"customer_id":"', CASE k WHEN 0 THEN 'x' ELSE CAST(user_id AS VARCHAR) END, '","item_id":"',
+      CASE k WHEN 1 THEN '1099511627776' ELSE CAST(item_id AS VARCHAR) END, '","rating":',
+      CASE k WHEN 2 THEN '"abc"' WHEN 3 THEN 'null' ELSE '3.5' END, CASE k WHEN 4 THEN '' ELSE '}' END) AS value,
+    CASE k WHEN 0 THEN 'bad user' WHEN 1 THEN 'bad item' WHEN 2 THEN 'bad rating' WHEN 3 THEN 'bad rating'
+      WHEN 4 THEN 'malformed' END AS reason
+  FROM (SELECT *, event_id % 20 AS k FROM log)) WHERE reason IS NOT NULL""",
+    "log",
+)
+ORACLE["job_import_users"] = _with(
+    """SELECT user_id, p.g AS gender, p.a AS age_range, p.p AS province
+FROM (SELECT user_id, min({'g': gender, 'a': age_range, 'p': province}) AS p FROM wide GROUP BY user_id)""",
+    "wide",
+)
+ORACLE["job_import_items"] = _with(
+    """SELECT item_id, r.c AS cat_id, r.b AS brand_id, r.m AS merchant_id
+FROM (SELECT item_id, min({'c': cat_id, 'b': brand_id, 'm': merchant_id}) AS r FROM wide GROUP BY item_id)""",
+    "wide",
+)
+ORACLE["job_import_raw_items"] = _with(
+    """SELECT item_id, r.c AS cat_id, r.b AS brand_id
+FROM (SELECT item_id, min({'t': created_at, 'c': cat_id, 'b': brand_id}) AS r FROM wide GROUP BY item_id)""",
+    "wide",
+)
+ORACLE["model_report"] = ORACLE["job_train"] = _with(
+    """SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
+  count(CASE WHEN split = 'train' THEN 1 END) AS n_train,
+  count(CASE WHEN split = 'validation' THEN 1 END) AS n_validation,
+  count(CASE WHEN split = 'test' THEN 1 END) AS n_test, round(any_value(m), 6) AS mean_rating,
+  round(sqrt(avg(CASE WHEN split = 'test' THEN (rating - m) * (rating - m) END)), 6) AS baseline_rmse, TRUE AS sound
+FROM timed_split, (SELECT avg(rating) AS m FROM timed_split WHERE split <> 'test')""",
+    "timed_split",
+)
+ORACLE["job_offline"] = _with(
+    f"""SELECT user_id, CAST({AS_OF} AS BIGINT) AS created_at, size AS n_items, CAST(size AS INTEGER) AS last_rank,
+  TRUE AS allowed, TRUE AS falls
+FROM (SELECT DISTINCT user_id FROM timed_allowed), (SELECT least(count(DISTINCT item_id), 200) AS size FROM timed_allowed)""",
+    "timed_allowed",
+)
 LISTS = """SELECT user_id, {messages}least(n, 200) AS n_items, TRUE AS sound
 FROM (SELECT DISTINCT user_id FROM messages WHERE is_valid), (SELECT count(DISTINCT item_id) AS n FROM wide_ratings)"""
 ORACLE["stream_retrain_recommend"] = _with(LISTS.format(messages=""), "wide_ratings", "messages")

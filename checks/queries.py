@@ -25,10 +25,11 @@ from checks.bindings import (
 from shelfwise import schema
 from shelfwise.functions.affinity import clamp, flag_positive
 from shelfwise.functions.clock import day_ago, epoch_bounds
-from shelfwise.functions.messages import parse_event, render_recs_json
+from shelfwise.functions.messages import judge_event, parse_event, render_recs_json
 from shelfwise.functions.splits import TEST, bucket_of, split_of
 from shelfwise.operators import dims, evaluation, exclusions, interactions, merge, model, selection, topk
-from shelfwise.plans.imports import job_import, job_import_raw
+from shelfwise.operators.sizing import written
+from shelfwise.plans.imports import job_import, job_import_raw, rejected_lines
 from shelfwise.plans.recommend import (
     job_incremental,
     job_offline,
@@ -39,7 +40,7 @@ from shelfwise.plans.recommend import (
 )
 from shelfwise.plans.warehouse import file_warehouse, recommendable_ratings, stored_ratings
 from shelfwise.session import scratch_path
-from shelfwise.sources.csv_log import csv_log_scan
+from shelfwise.sources.csv_log import csv_log_rejects, csv_log_scan
 from shelfwise.sources.tables import Table, table_append, table_overwrite, table_scan
 from shelfwise.streaming import channels, history, retrain
 
@@ -102,6 +103,36 @@ def csv_log_scan_v2(spark, sf_dir):
     return schema.canonical_log(log).select("user_id", "item_id", "action", "created_at")
 
 
+def csv_with_faults(spark, sf_dir) -> str:
+    """The narrow log as CSV, some values replaced by what isn't one."""
+    path, k = scratch_path(spark, "log-faults"), F.col("event_id") % 50
+    text = lambda c: F.col(c).cast("string")
+    events_log(spark, sf_dir).select(
+        F.when(k == 2, None).when(k == 5, str(1 << 40)).otherwise(text("user_id")).alias("customer_id"),
+        F.when(k == 0, "abc").when(k == 4, None).otherwise(text("item_id")).alias("item_id"),
+        F.lit(None).cast("string").alias("category_id"),
+        F.lit(None).cast("string").alias("brand_id"),
+        F.when(k == 1, "2.0").otherwise(text("action")).alias("action"),
+        F.when(k == 6, "NaN").otherwise(text("created_at")).alias("unix_created_at"),
+    ).write.option("header", True).csv(path)
+    return path
+
+
+@query_named("csv_log_rejects")
+def csv_log_rejects_lines(spark, sf_dir):
+    return csv_log_rejects(spark, csv_with_faults(spark, sf_dir), schema.LOG_V2)
+
+
+@query
+def job_import_raw_faults(spark, sf_dir):
+    """Pairs of an import from a log with faults, and how many lines of each kind it rejected."""
+    tables = file_warehouse(scratch_path(spark, "warehouse"))
+    done = job_import_raw(spark, csv_with_faults(spark, sf_dir), tables)
+    rejected = [F.lit(done.rejected.get(reason, 0)).cast("long").alias("n_" + reason.replace(" ", "_")) for reason in ("malformed", "no user", "no item")]
+    kept = rejected_lines(spark, tables).groupBy().agg(F.count("line").alias("n_kept"))
+    return rounded(stored_ratings(spark, tables), "rating").select("user_id", "item_id", "rating", *rejected).join(F.broadcast(kept))
+
+
 @query_named("table_scan")
 def table_scan_pruned(spark, sf_dir):
     target = Table(scratch_path(spark, "log-table"))
@@ -235,6 +266,20 @@ def rating_stream_state(spark, sf_dir):
     return rounded(history.rating_stream_state(spark, events_ratings(spark, sf_dir), path), "rating")
 
 
+@query
+def stream_rejects(spark, sf_dir):
+    """Messages with faults of each kind, as the stream keeps them."""
+    path, source, k = scratch_path(spark, "history"), scratch_path(spark, "messages"), F.col("event_id") % 20
+    user = F.when(k == 0, "x").otherwise(F.col("user_id").cast("string"))
+    item = F.when(k == 1, str(1 << 40)).otherwise(F.col("item_id").cast("string"))
+    rating = F.when(k == 2, '"abc"').when(k == 3, "null").otherwise("3.5")
+    text = F.concat(F.lit('{"customer_id":"'), user, F.lit('","item_id":"'), item, F.lit('","rating":'), rating, F.when(k == 4, "").otherwise("}"))
+    events_log(spark, sf_dir).select(text.alias("value")).repartition(2).write.text(source)
+    messages = channels.stream_source(spark, "text", {"path": source, "maxFilesPerTrigger": "1"})
+    drained(spark, messages, lambda batch, batch_id: history.record_rejects(judge_event(batch), batch_id, path))
+    return history.recorded_rejects(spark, path).select("value", "reason")
+
+
 @query
 def stream_sink(spark, sf_dir):
     every = vectors(spark, sf_dir)
@@ -589,31 +634,12 @@ def wide_split(spark, sf_dir) -> DataFrame:
     return evaluation.assign_split(timed_ratings(spark, sf_dir))
 
 
-def with_factors(trained, pairs: DataFrame) -> DataFrame:
-    """``pairs`` with the vectors u and v, and their product."""
-    users = model.user_factors(trained).select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("u"))
-    items = model.item_factors(trained).select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("v"))
-    products = F.zip_with("u", "v", lambda a, b: a.cast("double") * b.cast("double"))
-    dot = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-    return pairs.join(users, "user_id").join(items, "item_id").withColumn("dot", dot)
-
-
 @query
 def als_train(spark, sf_dir):
     """A user's vector is the least-squares solution for the item vectors, so no factor has a slope left."""
     ratings, params = orders_ratings(spark, sf_dir), model.FIXED_PARAMS
-    terms = F.zip_with("u", "v", lambda a, b: F.struct(a.cast("double").alias("u"), b.cast("double").alias("v")))
-    each = with_factors(model.als_train(ratings, params), ratings).select(
-        "user_id", (F.col("dot") - F.col("rating")).alias("error"), F.posexplode(terms).alias("factor", "of")
-    )
-    count = F.count(F.lit(1))
-    slope = F.sum(F.col("error") * F.col("of.v")) + params.reg * count * F.max("of.u")
-    slopes = each.groupBy("user_id", "factor").agg(count.alias("n_ratings"), slope.alias("slope"))
-    return slopes.groupBy("user_id").agg(
-        F.max("n_ratings").alias("n_ratings"),
-        F.count(F.lit(1)).alias("n_factors"),
-        (F.max(F.abs("slope")) < 1e-3).alias("solved"),
-    )
+    found = model.solution_residual(model.als_train(ratings, params), ratings, params.reg)
+    return found.select("user_id", "n_ratings", "n_factors", (F.col("residual") < 1e-3).alias("solved"))
 
 
 @query
@@ -621,26 +647,22 @@ def als_predict(spark, sf_dir):
     ratings = wide_split(spark, sf_dir)
     trained = model.als_train(ratings.where(F.col("split") != TEST), model.FIXED_PARAMS)
     test = ratings.where(F.col("split") == TEST).select("user_id", "item_id", "rating")
-    scored = with_factors(trained, model.als_predict(trained, test))
+    scored = model.scored_by_vectors(trained, model.als_predict(trained, test))
     exact = (F.abs(F.col("prediction") - F.col("dot")) < 1e-4).alias("exact")
     return rounded(scored.select("user_id", "item_id", "rating", exact), "rating")
 
 
 @query
 def als_grid_search(spark, sf_dir):
-    with model.persisted(wide_split(spark, sf_dir)) as ratings:
-        found = model.als_grid_search(ratings)
-    metrics = found.metrics_table(spark)
-    lowest = min((m["rmse"], m["trial"]) for m in found.metrics)[1]
-    best = (F.col("rank") == found.best.rank) & (F.col("reg") == found.best.reg) & (F.col("iterations") == found.best.iterations)
-    return metrics.select(
-        "trial",
-        "rank",
-        "reg",
-        "iterations",
-        (F.col("rmse") < float("inf")).alias("finite"),
-        (best == (F.col("trial") == lowest)).alias("best_is_lowest"),
-    )
+    """Every trial's error is that of its vectors, these solve their problems, and the best has the lowest error."""
+    found = model.als_grid_search(written(wide_split(spark, sf_dir)), audit=True)
+    return grid_facts(found.metrics_table(spark), found.best)
+
+
+def grid_facts(metrics: DataFrame, best: model.Params) -> DataFrame:
+    chosen = (F.col("rank") == best.rank) & (F.col("reg") == best.reg) & (F.col("iterations") == best.iterations)
+    lowest = F.col("vector_rmse") == F.min("vector_rmse").over(Window.partitionBy())
+    return model.audited(metrics).select("trial", "rank", "reg", "iterations", "error_holds", "solved", (chosen == lowest).alias("best_is_lowest"))
 
 
 def report_facts(report: DataFrame) -> DataFrame:
@@ -654,8 +676,8 @@ def report_facts(report: DataFrame) -> DataFrame:
 
 @query
 def model_report(spark, sf_dir):
-    with model.persisted(wide_split(spark, sf_dir)) as ratings:
-        return report_facts(model.model_report(ratings, model.als_grid_search(ratings)))
+    ratings = written(wide_split(spark, sf_dir))
+    return report_facts(model.model_report(ratings, model.als_grid_search(ratings)))
 
 
 def trained_and_loaded(spark, sf_dir):
@@ -702,9 +724,7 @@ def warehouse(spark, sf_dir):
 
 @query_named("job_import")
 def job_import_ratings(spark, sf_dir):
-    tables = file_warehouse(scratch_path(spark, "warehouse"))
-    job_import(spark, csv_v1(spark, sf_dir), tables)
-    return rounded(stored_ratings(spark, tables).select(*RATING_COLUMNS), "rating")
+    return rounded(stored_ratings(spark, imported(spark, sf_dir)).select(*RATING_COLUMNS), "rating")
 
 
 @query_named("job_import_raw")
@@ -716,6 +736,38 @@ def job_import_raw_profiles(spark, sf_dir):
     return table_scan(spark, tables[schema.USER_TABLE])
 
 
+def imported(spark, sf_dir):
+    tables = file_warehouse(scratch_path(spark, "warehouse"))
+    job_import(spark, csv_v1(spark, sf_dir), tables)
+    return tables
+
+
+@query
+def job_import_users(spark, sf_dir):
+    """The first import's users; its log has no times, so of several profiles the least one."""
+    return table_scan(spark, imported(spark, sf_dir)[schema.USER_TABLE])
+
+
+@query
+def job_import_items(spark, sf_dir):
+    return table_scan(spark, imported(spark, sf_dir)[schema.ITEM_TABLE])
+
+
+@query
+def job_import_raw_items(spark, sf_dir):
+    """The item table after two imports of the wide log, by the earliest row of an item."""
+    tables = file_warehouse(scratch_path(spark, "warehouse"))
+    log = orders_log(spark, sf_dir)
+    for odd in (0, 1):
+        path = scratch_path(spark, "log-v2")
+        half = log.where(F.col("user_id") % 2 == odd)
+        half.select(
+            F.col("user_id").alias("customer_id"), "item_id", F.col("cat_id").alias("category_id"), "brand_id", "action", F.col("created_at").alias("unix_created_at")
+        ).write.option("header", True).csv(path)
+        job_import_raw(spark, path, tables, with_items=True)
+    return table_scan(spark, tables[schema.ITEM_TABLE])
+
+
 def wide_warehouse(spark, sf_dir):
     """Stored ratings of the orders, enough items for the longest lists."""
     tables = file_warehouse(scratch_path(spark, "warehouse"))

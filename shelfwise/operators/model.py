@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.splits import TEST, TRAIN, VALIDATION
 from shelfwise.operators.evaluation import baseline_rmse, improvement_pct, rmse, sample_stats
+from shelfwise.operators.sizing import sized
 from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.sources.folders import complete_folders, folder_names, mark_finished, remove_folder
 
 SEED = 42
 #: Factor blocks of each side; about one for two million ratings is a good size.
 BLOCKS = 8
+CHECKPOINT_INTERVAL = 10
 
 
 @dataclass(frozen=True)
@@ -41,11 +44,14 @@ def full_grid() -> list[Params]:
     return [Params(*values) for values in product(RANKS, REGS, ITERATIONS)]
 
 
-def als_train(ratings: DataFrame, params: Params, seed: int = SEED, blocks: int = BLOCKS) -> ALSModel:
+def als_train(
+    ratings: DataFrame, params: Params, seed: int = SEED, blocks: int = BLOCKS, checkpoint_interval: int = CHECKPOINT_INTERVAL
+) -> ALSModel:
     """Explicit-feedback ALS. Repeated (user, item) rows are separate observations.
 
     The factors start from ``seed`` in each block, so ``blocks`` is part of the model: it
     never follows the cluster or the table. Raise it until a block of ratings fits a task.
+    Every ``checkpoint_interval`` iterations the factors are written to shared storage.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
     als = ALS(
@@ -54,6 +60,7 @@ def als_train(ratings: DataFrame, params: Params, seed: int = SEED, blocks: int
         regParam=params.reg,
         numUserBlocks=blocks,
         numItemBlocks=blocks,
+        checkpointInterval=checkpoint_interval,
         userCol="user_id",
         itemCol="item_id",
         ratingCol="rating",
@@ -74,12 +81,90 @@ def model_rmse(model: ALSModel, ratings: DataFrame) -> float:
     return rmse(als_predict(model, ratings)).first()["rmse"]
 
 
+VERSION, KEPT_MODELS = "version=", 2
+
+
 def model_save(model: ALSModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Store the model as the next version below ``path``, which counts once all of it is written.
+
+    A save that fails leaves the former version the one that is loaded.
+    """
+    spark = model.userFactors.sparkSession
+    taken = [int(name.removeprefix(VERSION)) for name in folder_names(spark, path, VERSION)]
+    version = f"{path}/{VERSION}{max(taken, default=-1) + 1}"
+    model.write().save(version)
+    mark_finished(spark, version)
+    for old in complete_folders(spark, path, VERSION)[:-KEPT_MODELS]:
+        remove_folder(spark, f"{path}/{VERSION}{old}")
 
 
 def model_load(path: str) -> ALSModel:
-    return ALSModel.load(path)
+    """The last complete version below ``path``, or the model that is stored at ``path`` itself."""
+    versions = complete_folders(SparkSession.active(), path, VERSION)
+    return ALSModel.load(f"{path}/{VERSION}{versions[-1]}" if versions else path)
+
+
+def scored_by_vectors(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the vectors u and v of known users and items, and their product ``dot``."""
+    users = model.userFactors.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("v"))
+    products = F.zip_with("u", "v", lambda a, b: a.cast("double") * b.cast("double"))
+    dot = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    return pairs.join(users, "user_id").join(items, "item_id").withColumn("dot", dot)
+
+
+def solution_residual(model: ALSModel, ratings: DataFrame, reg: float) -> DataFrame:
+    """Per user: ``n_ratings``, ``n_factors``, and ``residual``, the largest slope that the user's squared
+    error still has in any factor. A vector solves its least-squares problem if there is none.
+    """
+    terms = F.zip_with("u", "v", lambda a, b: F.struct(a.cast("double").alias("u"), b.cast("double").alias("v")))
+    each = scored_by_vectors(model, ratings).select("user_id", (F.col("dot") - F.col("rating")).alias("error"), F.posexplode(terms).alias("factor", "of"))
+    count = F.count(F.lit(1))
+    slope = F.sum(F.col("error") * F.col("of.v")) + reg * count * F.max("of.u")
+    slopes = each.groupBy("user_id", "factor").agg(count.alias("n_ratings"), slope.alias("slope"))
+    return slopes.groupBy("user_id").agg(
+        F.max("n_ratings").alias("n_ratings"), F.count(F.lit(1)).alias("n_factors"), F.max(F.abs("slope")).alias("residual")
+    )
+
+
+def fold_in(ratings: DataFrame, items: DataFrame, reg: float) -> DataFrame:
+    """(id, features): the vector that each user of ``ratings(user_id, item_id, rating)`` gets from fixed item vectors.
+
+    It is what the last half-step of the training gives, the solution of the user's
+    regularised least-squares problem. Its sums are added up row by row with map-side combine,
+    so a user may have any number of ratings; what is solved is one small system a user.
+    Ratings of items without a vector in ``items(id, features)`` don't count, and a user
+    without any other has no row.
+    """
+    rated = sized(ratings.select(F.col("item_id").cast("long").alias("item"), F.col("user_id").cast("long").alias("user"), F.col("rating").cast("double").alias("rating")))
+    vector = F.transform("features", lambda x: x.cast("double"))
+    joined = items.select(F.col("id").cast("long").alias("item"), vector.alias("v")).join(rated, "item")
+    squares = F.flatten(F.transform("v", lambda a: F.transform("v", lambda b: a * b)))
+    sides = F.transform("v", lambda a: a * F.col("rating"))
+    terms = joined.select("user", F.posexplode(F.concat(squares, sides, F.array(F.lit(1.0)))).alias("k", "x"))
+    sums = terms.groupBy("user", "k").agg(F.sum("x").alias("x")).groupBy("user").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("sums"))
+
+    def solve(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            rank = int(round((-1 + (4 * flat.shape[1] - 3) ** 0.5) / 2))  # rank ** 2 + rank + 1 sums
+            squares, sides, n = flat[:, : rank * rank].reshape(-1, rank, rank), flat[:, rank * rank : -1], flat[:, -1]
+            solved = np.linalg.solve(squares + reg * n[:, None, None] * np.eye(rank), sides[:, :, None])[:, :, 0]
+            features = pa.array(list(solved.astype(np.float32)), pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), features], names=["id", "features"])
+
+    return sums.select("user", F.col("sums.x").alias("x")).mapInArrow(solve, "id int, features array<float>")
+
+
+def mean_vector(factors: DataFrame) -> DataFrame:
+    """One row ``features``: the mean of all vectors."""
+    each = factors.select(F.posexplode("features").alias("k", "x")).groupBy("k").agg(F.avg("x").cast("float").alias("x"))
+    return each.agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda r: r["x"]).alias("features"))
 
 
 def user_factors(model: ALSModel) -> DataFrame:
@@ -106,9 +191,24 @@ class GridResult:
     metrics: list[dict]
 
     def metrics_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.metrics, "trial int, rank int, reg double, iterations int, rmse double"
-        )
+        more = ", vector_rmse double, residual double" if self.metrics and "residual" in self.metrics[0] else ""
+        return spark.createDataFrame(self.metrics, f"trial int, rank int, reg double, iterations int, rmse double{more}")
+
+
+def trial_audit(model: ALSModel, params: Params, fitting: DataFrame, validation: DataFrame) -> dict:
+    """A trial's error computed anew from the vectors, and how far any user's vector is from solving its problem."""
+    scored = scored_by_vectors(model, validation.select("user_id", "item_id", "rating"))
+    fitted = fitting.select("user_id", "item_id", "rating")
+    return {
+        "vector_rmse": rmse(scored, "dot").first()["rmse"],
+        "residual": solution_residual(model, fitted, params.reg).agg(F.max("residual")).first()[0],
+    }
+
+
+def audited(metrics: DataFrame) -> DataFrame:
+    """Audited metrics with ``error_holds``: the error is the vectors' own, and ``solved``: the vectors solve their problem."""
+    same = F.abs(F.col("rmse") - F.col("vector_rmse")) < 1e-5
+    return metrics.withColumns({"error_holds": F.coalesce(same, F.lit(False)), "solved": F.coalesce(F.col("residual") < 1e-3, F.lit(False))})
 
 
 def als_grid_search(
@@ -118,27 +218,32 @@ def als_grid_search(
     seed: int = SEED,
     parallelism: int = 4,
     blocks: int = BLOCKS,
+    checkpoint_interval: int = CHECKPOINT_INTERVAL,
+    audit: bool = False,
 ) -> GridResult:
     """Fit every setting, keep the one of the lowest validation error.
 
     ``fit_on="all"`` fits on every split, so the error then includes rows the model
     has seen. Only one error per setting reaches the driver. ``parallelism`` fits
-    run side by side to fill the cluster while ALS is in its small stages.
+    run side by side to fill the cluster while ALS is in its small stages. ``audit`` adds to
+    each trial's metrics what ``trial_audit`` finds, while its model is still at hand.
     """
     grid = list(grid or full_grid())
     fitting = split_ratings if fit_on == "all" else split_ratings.where(F.col("split") == fit_on)
     validation = split_ratings.where(F.col("split") == VALIDATION)
 
     @inheritable_thread_target(split_ratings.sparkSession)
-    def trial(params: Params) -> tuple[ALSModel, float]:
-        model = als_train(fitting, params, seed, blocks)
-        return model, model_rmse(model, validation)
+    def trial(params: Params) -> tuple[ALSModel, dict]:
+        model = als_train(fitting, params, seed, blocks, checkpoint_interval)
+        found = trial_audit(model, params, fitting, validation) if audit else {}
+        return model, {"rmse": model_rmse(model, validation), **found}
 
     best: tuple[float, int, ALSModel] | None = None
     metrics = []
     with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
-        for number, (model, error) in enumerate(pool.imap(trial, grid)):
-            metrics.append({"trial": number, **asdict(grid[number]), "rmse": error})
+        for number, (model, found) in enumerate(pool.imap(trial, grid)):
+            metrics.append({"trial": number, **asdict(grid[number]), **found})
+            error = found["rmse"]
             if not isnan(error) and (best is None or error < best[0]):
                 best = (error, number, model)
     if best is None:

@@ -13,6 +13,7 @@ from shelfwise.sources.tables import Table, exists, table_scan
 
 TABLES = (
     schema.USER_LOG_TABLE,
+    schema.REJECT_TABLE,
     schema.USER_TABLE,
     schema.ITEM_TABLE,
     schema.RATING_TABLE,

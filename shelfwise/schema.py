@@ -40,6 +40,7 @@ STREAM_EVENT = T.StructType(
 VIEW, CART, BUY, FAVOURITE = 0, 1, 2, 3
 PRODUCT_RULE, CATEGORY_RULE, BRAND_RULE = "Product", "Category", "Brand"
 USER_LOG_TABLE = "spark_user_log"
+REJECT_TABLE = "spark_user_log_rejects"
 USER_TABLE = "spark_user_info"
 ITEM_TABLE = "spark_product_info"
 RATING_TABLE = "spark_rating_info"

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from shelfwise.sources.folders import remove_folder
+
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def build_session(app: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -52,5 +59,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the folder of the run, or the shared folder outside of one."""
+    return f"{_RUN.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that a job writes on its way, removed when the job is over or has failed.
+
+    Nothing lazy that reads it may leave the block. What a killed driver left is a folder
+    ``run-…`` below the shared one, and may be removed once the driver is gone.
+    """
+    path = scratch_path(spark, "run")
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        remove_folder(spark, path)

@@ -1,3 +1,7 @@
+import random
+
+from pyspark.sql import functions as F
+
 from shelfwise.operators import dims
 
 
@@ -37,3 +41,15 @@ def test_user_dim_keeps_a_whole_row(spark):
         "user_id long, gender int, age_range int, province string, created_at long",
     )
     assert [tuple(r) for r in dims.user_dim(df).collect()] == [(1, 1, 2, "A")]
+
+
+def test_chunks_are_bounded_however_ids_are_spread(spark):
+    rng = random.Random(2)
+    ids = sorted({rng.randrange(-(1 << 63), 1 << 63) for _ in range(50_000)})
+    df = spark.createDataFrame([(1, i) for i in ids] * 2 + [(2, 5), (3, None)], "user_id long, item_id long").repartition(7)
+    chunks = dims.id_chunks(df, "user_id", F.col("item_id"), 1000).collect()
+    assert max(r.n for r in chunks) <= 1000
+    assert sum(r.n for r in chunks if r.user_id == 1) == len(ids)
+    assert sum(r.user_id == 1 for r in chunks) <= 50 + 4  # a chunk more for each partition
+    texts = {r.user_id: r.t for r in dims.ids_per_key(df, "user_id", F.col("item_id"), "t", 1000).collect()}
+    assert texts == {1: ",".join(map(str, ids)), 2: "5", 3: None}

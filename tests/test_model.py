@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +79,82 @@ def test_saved_model_predicts_the_same(spark, planted, tmp_path, rows):
 def test_the_full_grid_has_eight_settings():
     grid = model.full_grid()
     assert len(grid) == 8 and grid[0] == Params(8, 0.01, 10) and grid[-1] == Params(12, 0.1, 20)
+
+
+def test_a_failed_save_keeps_the_former_model(spark, planted, tmp_path):
+    path = str(tmp_path / "m")
+    trained = model.als_train(planted, Params(2, 0.1, 2))
+    model.model_save(trained, path)
+    before = sorted(map(tuple, model.model_load(path).itemFactors.collect()))
+
+    class Broken:
+        userFactors = trained.userFactors
+
+        def write(self):
+            return self
+
+        def save(self, to):
+            trained.userFactors.write.parquet(f"{to}/userFactors")
+            raise OSError("the disk is full")
+
+    with pytest.raises(OSError):
+        model.model_save(Broken(), path)
+    assert sorted(map(tuple, model.model_load(path).itemFactors.collect())) == before
+    for rank in (3, 4, 5):
+        model.model_save(model.als_train(planted, Params(rank, 0.1, 1)), path)
+        assert model.model_load(path).rank == rank
+    assert len(list((tmp_path / "m").glob("version=*/_SUCCESS"))) == 2
+
+
+def test_a_model_stored_without_versions_can_be_loaded(planted, tmp_path):
+    trained = model.als_train(planted, Params(2, 0.1, 1))
+    trained.write().save(str(tmp_path / "plain"))
+    assert model.model_load(str(tmp_path / "plain")).rank == 2
+
+
+def test_folding_in_equals_the_last_half_step(planted):
+    params = Params(4, 0.05, 6)
+    trained = model.als_train(planted, params)
+    users = {r.id: r.features for r in trained.userFactors.collect()}
+    twice = planted.select("user_id", "item_id", "rating")
+    folded = {r.id: r.features for r in model.fold_in(twice, trained.itemFactors, params.reg).collect()}
+    assert folded.keys() == users.keys()
+    for user, vector in users.items():
+        assert folded[user] == pytest.approx(vector, abs=2e-4)
+
+
+def test_folding_in_counts_repeats_and_leaves_unknown_items_out(spark):
+    items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 2.0])], "id int, features array<float>")
+    rated = [(7, 1, 4.0), (7, 1, 2.0), (7, 2, 1.0), (7, 99, 5.0), (8, 99, 5.0)]
+    got = model.fold_in(spark.createDataFrame(rated, "user_id int, item_id int, rating double"), items, 0.1).collect()
+    v, r = np.array([[1, 0], [1, 0], [0.5, 2]]), np.array([4, 2, 1])
+    want = np.linalg.solve(v.T @ v + 0.3 * np.eye(2), v.T @ r)
+    assert [x.id for x in got] == [7] and got[0].features == pytest.approx(want, abs=1e-6)
+
+
+def test_mean_vector(spark):
+    factors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 4.0])], "id int, features array<float>")
+    assert model.mean_vector(factors).collect() == [([1.5, 2.0],)]
+
+
+def test_the_audit_notices_an_altered_error(spark, planted):
+    found = model.als_grid_search(planted, [Params(2, 0.1, 3), Params(3, 0.1, 3)], audit=True)
+    sound = model.audited(found.metrics_table(spark)).collect()
+    assert [(r.error_holds, r.solved) for r in sound] == [(True, True)] * 2
+    found.metrics[1]["rmse"] += 0.001
+    assert [r.error_holds for r in model.audited(found.metrics_table(spark)).orderBy("trial").collect()] == [True, False]
+    found.metrics[0]["residual"] = 0.5
+    assert [r.solved for r in model.audited(found.metrics_table(spark)).orderBy("trial").collect()] == [False, True]
+
+
+def test_blocks_and_checkpoints_reach_the_training(planted, monkeypatch):
+    seen = []
+
+    class Spy(model.ALS):
+        def fit(self, data):
+            seen.append((self.getNumUserBlocks(), self.getNumItemBlocks(), self.getCheckpointInterval()))
+            return super().fit(data)
+
+    monkeypatch.setattr(model, "ALS", Spy)
+    model.als_grid_search(planted, [Params(1, 0.1, 1)], blocks=3, checkpoint_interval=4)
+    assert seen == [(3, 3, 4)]

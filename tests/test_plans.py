@@ -63,14 +63,31 @@ def test_small_changes_do_not_shuffle_the_table(spark, tmp_path):
     assert exchanges(exclusions.exclusion_filter(stored, items, rules)) == 0
 
 
-def test_top_k_has_no_cross_join_and_one_shuffle_per_side(spark):
+def test_top_k_has_no_cross_join_and_shuffles_packed_records(spark):
     every = vectors(spark, SF)
-    one_block = topk.topk_items_per_user(every, every, 5)
-    assert exchanges(one_block) == 2
-    many = topk.topk_items_per_user(every, every, 5, block_rows=100)
-    assert exchanges(many) == 3 and "WindowGroupLimit" in plan(many)
-    for df in (one_block, many, topk.score_all_pairs(every, every)):
-        assert not re.search("Cartesian|NestedLoop", plan(df))
+    sent = topk.topk_items_per_user(every, every, 5)
+    assert exchanges(sent) == 1
+    streamed = topk.topk_items_per_user(every, every, 5, block_rows=100)
+    assert "Window" not in plan(streamed)
+    for df in (sent, streamed, topk.score_all_pairs(every, every)):
+        assert not re.search("Cartesian|NestedLoop|Join", plan(df))
+
+
+def test_an_import_reads_only_the_columns_it_needs(spark, tmp_path):
+    from shelfwise import schema
+    from shelfwise.plans.imports import landed
+
+    path = str(tmp_path / "log")
+    log = events_log(spark, SF).select("user_id", "item_id", F.lit(1).alias("cat_id"), F.lit(2).alias("brand_id"), F.lit(3).alias("merchant_id"), "action", F.lit(0).alias("gender"), F.lit(1).alias("age_range"), F.lit("p").alias("province"))
+    log.write.option("header", True).csv(path)
+    accepted, _ = landed(spark, path, schema.LOG_V1)
+    canonical = schema.canonical_log(accepted)
+    read = lambda df: set(re.search(r"ReadSchema: struct<([^>]*)>", plan(df))[1].split(",")) - {"reason:string"}
+    for df in (dims.user_dim(canonical), dims.item_dim(canonical), interactions.build_ratings(canonical)):
+        assert plan(df).count("FileScan parquet") == 1 and "csv" not in plan(df).lower()
+    assert read(dims.user_dim(canonical)) == {"user_id:bigint", "gender:int", "age_range:int", "province:string"}
+    assert read(dims.item_dim(canonical)) == {"item_id:bigint", "cat_id:bigint", "brand_id:bigint", "merchant_id:bigint"}
+    assert read(interactions.build_ratings(canonical)) == {"user_id:bigint", "item_id:bigint", "action:int"}
 
 
 @pytest.mark.parametrize("parts", [1, 7])
