@@ -1,31 +1,45 @@
-"""Language-model scores by context-tree weighting over bytes.
+"""Language-model scores by context-tree weighting over bytes, with the tree as a table.
 
 Each byte is eight binary decisions; each decision has a tree of contexts, the bytes
 before it, of depth 0 to ``DEPTH``. A node holds the Krichevsky-Trofimov estimate of the
-decisions seen in its context, and weighs it half and half against its children. With the
-counts of the whole training corpus that mixture is resolved once per node, so a text
-costs one table lookup a byte.
-
-A context gets a node if at least one in ``2 ** -RARE`` training bytes has it; the bytes of
-all rarer contexts below a node form one more child of it. So no byte goes uncounted, and
-a depth has at most ``2 ** RARE`` nodes however large the corpus is.
+decisions seen in its context, and weighs it half and half against its children. No context
+is left out or folded, however rare, and nothing of the tree is on the driver.
+
+A row of the tree is a pair of a context and a byte that follows it somewhere, written as one
+number: the nearest byte first, the symbol last. Pairs of texts that don't teach are rows with
+a count of 0, so every pair that a text asks for is there, and what was never seen needs no case
+of its own. The steps, with packed arrays as rows between them:
+
+1. Texts are packed into slices. Each slice asks for its distinct pairs once, with its counts.
+2. Pairs are dealt by the ``DEPTH - SPAN`` nearest bytes of their context. A task sums up the
+   counts and resolves the ``SPAN`` farthest depths from the leaves up. So it goes on to the root,
+   ``SPAN`` depths at a time: a group that must meet in a task has ``256 ** (SPAN + 1)`` pairs at
+   most, whatever the corpus.
+3. On the way back down each pair gets the mixture of all depths above it, and at the deepest
+   one its probability, which goes back to the slices that asked.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfwise.llm.batches import crc_fold, field, named, sliced, stored, with_columns
+from shelfwise.llm.batches import batches, crc_fold, field, named, stored
 
-DEPTH = 5
-RARE = 16
+#: Bytes of the longest context, and how many depths are resolved together; they divide.
+DEPTH, SPAN = 6, 2
+#: Bytes of a slice, bytes of text for each bucket of pairs, and the most buckets of either kind.
+SLICE, BUCKET = 4 << 20, 16 << 20
+MOST_BUCKETS, MOST_UPPER = 1 << 16, 1 << 10
 #: Tokens of at least this share of all are scored from a table sent along, the others by a join.
 FREQUENT = 20
 FOLDS, HELD_OUT = 5, 1
@@ -34,63 +48,128 @@ EDGE = 255
 END = b"\n"
 
 
-# --- bytes and counts ----------------------------------------------------------------
+# --- packed arrays ---------------------------------------------------------------------
+
+
+def packed(**columns) -> bytes:
+    """Columns of one length as one compressed value."""
+    batch = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(body: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(body).read_next_batch()
+
+
+def _array(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def _steps(code: np.ndarray) -> np.ndarray:
+    """Ascending numbers as differences, which compress better."""
+    return np.diff(code, prepend=np.uint64(0))
+
+
+def _eight(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    return {f"{name}{level}": values[:, level] for level in range(8)}
+
+
+def _of_eight(parts: Sequence[pa.RecordBatch], name: str) -> np.ndarray:
+    return np.stack([np.concatenate([_array(p, f"{name}{level}") for p in parts]) for level in range(8)], axis=1)
+
+
+#: What goes from step to step; ``kind`` orders the rows of a key.
+ROW = "key long, kind int, slice long, body binary"
+_PAIRS, _BELOW, _ABOVE, _ASKED, _ANSWER = range(5)
+
+
+def _rows(rows: Sequence[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    columns = list(zip(*rows)) or [(), (), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "kind", "slice", "body"])
+
+
+def _keyed(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
+    """(key, its rows) of sorted rows, one row in memory at a time."""
+
+    def rows():
+        for batch in stream:
+            for k in range(batch.num_rows):
+                yield tuple(c[k].as_py() for c in batch.columns)
+
+    return groupby(rows(), key=lambda r: r[0])
+
+
+def _by_key(rows: DataFrame, task: Callable, schema: str | T.StructType = ROW) -> DataFrame:
+    """``task`` over rows that are dealt by key and sorted by key and kind."""
+    return rows.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(task, schema)
+
+
+def _bucket(contexts: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = contexts * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _dealt(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(key, places) for each distinct key, places ascending."""
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.diff(keys[order], prepend=-1))
+    for a, b in zip(first, np.append(first[1:], len(order))):
+        yield int(keys[order[a]]), order[a:b]
+
 
+# --- slices and pairs -------------------------------------------------------------------
 
-def _stream(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in lower case behind DEPTH edges each, with one at the end; places of the symbols."""
-    edge, pad = bytes([EDGE]), bytes([EDGE]) * DEPTH
+
+def _slices(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(size, body): rows of about ``SLICE`` bytes of text together; one long text forms a slice."""
+
+    def closed(held, size):
+        table = pa.Table.from_batches(held).sort_by("held_out").combine_chunks()
+        body = packed(**{name: table.column(name).combine_chunks() for name in table.column_names})
+        return pa.RecordBatch.from_arrays([pa.array([size], pa.int64()), pa.array([body], pa.binary())], names=["size", "body"])
+
+    held, size = [], 0
+    for batch in stream:
+        sizes = np.cumsum([len(t.as_buffer() or b"") + DEPTH + 1 for t in batch.column(1)])
+        part, start = (size + sizes) // SLICE, 0
+        for end in [*(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]:
+            if end > start:
+                held.append(batch.slice(start, end - start))
+                size += int(sizes[end - 1] - (sizes[start - 1] if start else 0))
+                start = end
+                if size >= SLICE or end < batch.num_rows:
+                    yield closed(held, size)
+                    held, size = [], 0
+    if held:
+        yield closed(held, size)
+
+
+def pairs_of(texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The pair of every symbol of the lower-cased texts, ends included; how many symbols each text has."""
+    pad, edge = bytes([EDGE]) * DEPTH, bytes([EDGE])
     parts = [pad + (t or b"").lower() + edge for t in texts]
     sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    n = len(data) - DEPTH
+    code = data[DEPTH:].astype(np.uint64)
+    for back in range(1, DEPTH + 1):
+        code |= data[DEPTH - back : DEPTH - back + n].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
     symbol = np.ones(len(data), dtype=bool)
     starts = np.cumsum(sizes) - sizes
     for k in range(DEPTH):
         symbol[starts + k] = False
-    return data, symbol
+    return code[symbol[DEPTH:]], sizes - DEPTH
 
 
 def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, ascending, and how often each occurs."""
     codes = np.sort(codes)
-    if not len(codes):
-        return codes.astype(np.int64), codes.astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-    return codes[first].astype(np.int64), np.diff(np.append(first, len(codes)))
-
-
-def _groups(texts: list[bytes | None], size: int = 2 << 20) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``size`` bytes; one long text forms a run of its own."""
-    start = held = 0
-    for k, text in enumerate(texts):
-        held += len(text or b"")
-        if held >= size:
-            yield start, k + 1
-            start, held = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-class _Tally:
-    """Counts of codes, combined as they come in so that memory follows distinct codes."""
-
-    def __init__(self):
-        self.parts, self.held = [], 0
-
-    def add(self, codes: np.ndarray) -> None:
-        self.parts.append(_counted(codes))
-        self.held += len(self.parts[-1][0])
-        if self.held > 1_500_000 and len(self.parts) > 1:
-            self.parts = [self.total()]
-            self.held = len(self.parts[0][0])
-
-    def total(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        code, n = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.argsort(code, kind="stable")
-        code, n = code[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, dtype=np.int64)
-        return code[first], np.add.reduceat(n, first) if len(first) else n
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+    return codes[first], np.diff(np.append(first, len(codes)))
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -98,80 +177,56 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
-_COUNTS = "token binary, code long, n long"
-_SHIP = 50_000
-
-
-def _first_pass(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens, and triples (two bytes back, one back, byte), counted within the task."""
-    tally, tokens = _Tally(), Counter()
-
-    def shipped():
-        names, counts = list(tokens), list(tokens.values())
-        tokens.clear()
-        for k in range(0, len(names), _SHIP):
-            part = names[k : k + _SHIP]
-            yield _counts(part, [None] * len(part), counts[k : k + _SHIP])
-
-    for batch in (part for whole in stream for part in sliced(whole, 0)):
-        texts = batch.column(0).to_pylist()
-        for a, b in _groups(texts):
-            data, symbol = _stream(texts[a:b])
-            wide = data.astype(np.uint32)
-            codes = (wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:]
-            tally.add(codes[symbol[2:]])
-        for text in texts:
-            tokens.update(tokens_of(text))
-        if len(tokens) > 300_000:
-            yield from shipped()
-    yield from shipped()
-    yield from _shipped_codes(tally)
-
-
-def _counts(tokens, codes, counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(tokens, pa.binary()), pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], names=["token", "code", "n"]
-    )
-
-
-def _shipped_codes(tally: _Tally) -> Iterator[pa.RecordBatch]:
-    code, n = tally.total()
-    for k in range(0, len(code), _SHIP):
-        yield _counts(pa.nulls(len(code[k : k + _SHIP]), pa.binary()), code[k : k + _SHIP], n[k : k + _SHIP])
+_ASKING = "key long, kind int, slice long, body binary, token binary, n long"
 
 
-def _nodes(child: np.ndarray, data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte from place DEPTH on: its context's node at ``depth`` (0: none), and the deepest one."""
-    n, flat = len(data), child.ravel()
-    node = flat[256 + data[DEPTH - 1 : n - 1].astype(np.int32)]
-    deepest = np.maximum(node, 1)
-    for d in range(2, depth + 1):
-        node = flat[(node << 8) + data[DEPTH - d : n - d]]
-        np.maximum(deepest, node, out=deepest)
-    return node, deepest
-
-
-def _deeper_pass(shared, depth: int):
-    """For bytes whose context has a node at ``depth``: (node, one or two more bytes back, byte), counted."""
+def _asking(buckets: int) -> Callable:
+    """For each slice the distinct pairs in every bucket, with their counts in training texts; and the counts of tokens."""
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        child, tally = shared.value, _Tally()
-        for batch in (part for whole in stream for part in sliced(whole, 0)):
-            texts = batch.column(0).to_pylist()
-            for a, b in _groups(texts):
-                data, symbol = _stream(texts[a:b])
-                node, _ = _nodes(child, data, depth)
-                at = np.flatnonzero((node > 0) & symbol[DEPTH:])
-                code = node[at].astype(np.int64)
-                for d in range(depth + 1, min(depth + 2, DEPTH) + 1):
-                    code = (code << 8) | data[at + (DEPTH - d)]
-                tally.add((code << 8) | data[at + DEPTH])
-        yield from _shipped_codes(tally)
+        tokens: Counter = Counter()
+
+        def shipped():
+            names, counts = list(tokens), list(tokens.values())
+            tokens.clear()
+            for k in range(0, len(names), 50_000):
+                part = names[k : k + 50_000]
+                none = [None] * len(part)
+                yield made(none, none, none, none, part, counts[k : k + 50_000])
+
+        def made(*columns):
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "kind", "slice", "body", "token", "n"])
+
+        for batch in stream:
+            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = unpacked(body)
+                texts, held = rows.column("text").to_pylist(), _array(rows, "held_out").astype(bool)
+                code, sizes = pairs_of(texts)
+                taught = int(sizes[~held].sum())  # those held out stand behind the others
+                seen, n = _counted(code[:taught])
+                every = np.union1d(seen, code[taught:])
+                counts = np.zeros(len(every), dtype=np.int64)
+                counts[np.searchsorted(every, seen)] = n
+                out = [
+                    (key, _ASKED, number, packed(code=_steps(every[at]), n=counts[at]))
+                    for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets))
+                ]
+                for k in range(0, len(out), 1000):
+                    part = list(zip(*out[k : k + 1000]))
+                    none = [None] * len(part[0])
+                    yield made(*part, none, none)
+                for text, out_of in zip(texts, held):
+                    if not out_of:
+                        tokens.update(tokens_of(text))
+                if len(tokens) > 300_000:
+                    yield from shipped()
+        yield from shipped()
 
     return task
 
 
-# --- the tree ------------------------------------------------------------------------
+# --- estimates ------------------------------------------------------------------------
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -187,17 +242,6 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     return np.where(x < 8, out - shift, out)
 
 
-def bit_counts(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at each of the 255 decisions, in heap order, from counts of 256 bytes."""
-    level, zeros, ones = symbols, [], []
-    while level.shape[1] > 1:
-        pair = level.reshape(len(level), level.shape[1] // 2, 2)
-        zeros.append(pair[:, :, 0])
-        ones.append(pair[:, :, 1])
-        level = pair.sum(axis=2)
-    return np.concatenate(zeros[::-1], axis=1), np.concatenate(ones[::-1], axis=1)
-
-
 _SMALL = 1 << 14
 _HALVES, _WHOLES = lgamma(np.arange(_SMALL) + 0.5), lgamma(np.arange(_SMALL) + 1.0)
 
@@ -220,190 +264,263 @@ def kt_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (ones + 0.5) / (zeros + ones + 1.0)
 
 
-def _byte_logs(one: np.ndarray) -> np.ndarray:
-    """log10 probabilities of 256 bytes from those of a 1 at the 255 decisions."""
-    logs = np.zeros((len(one), 1))
-    at = 0
-    for level in range(8):
-        p = one[:, at : at + (1 << level)]
-        at += 1 << level
-        logs = np.stack([logs + np.log10(1 - p), logs + np.log10(p)], axis=2).reshape(len(one), 2 << level)
-    return logs
+# --- the tree -------------------------------------------------------------------------
 
 
 @dataclass
-class Tree:
-    """``child[node, byte before]``: a node, 0 if none; node 1 is the root. ``logs[node, byte]``: log10."""
-
-    child: np.ndarray
-    logs: np.ndarray
-
-    def score(self, texts: list[bytes | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        for a, b in _groups(texts):
-            data, symbol = _stream(texts[a:b])
-            _, deepest = _nodes(self.child, data, DEPTH)
-            logs = self.logs.ravel()[(deepest << 8) + data[DEPTH:]][symbol[DEPTH:]].astype(np.float64)
-            ends = np.cumsum(np.fromiter((len(t or b"") + 1 for t in texts[a:b]), dtype=np.int64, count=b - a))
-            total = np.concatenate([[0.0], np.cumsum(logs)])
-            starts = np.concatenate([[0], ends[:-1]])
-            out[a:b] = np.add.reduceat(logs, starts) if len(starts) < 1_000 else total[ends] - total[starts]
-        return out
+class Pairs:
+    """Distinct pairs of one depth, ascending, their counts, and each one's place among the pairs a byte shorter."""
+
+    code: np.ndarray
+    n: np.ndarray
+    up: np.ndarray | None = None
+
+    def decisions(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The decisions at this bit of the symbol: first pair of each, decision of each pair, zeros and ones."""
+        key = self.code >> np.uint64(8 - level)
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        first, bit = np.flatnonzero(new), ((self.code >> np.uint64(7 - level)) & np.uint64(1)).astype(np.float64)
+        total, ones = np.add.reduceat(self.n, first), np.add.reduceat(self.n * bit, first)
+        return first, np.cumsum(new) - 1, total - ones, ones
 
 
-class Builder:
-    """Grows the nodes depth by depth, then weighs them from the leaves up."""
-
-    def __init__(self, least: float):
-        self.least = least
-        self.symbols: list[np.ndarray] = [np.zeros((2, 256))]  # of nodes 0 (none) and 1 (root)
-        self.parents: list[np.ndarray] = [np.array([0, 0])]
-        self.edges: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def first(self, code: np.ndarray, n: np.ndarray) -> None:
-        """Depths 0 to 2 from triples."""
-        np.add.at(self.symbols[0][1], code & 255, n)
-        one = self.grow(np.ones(len(code), dtype=np.int64), (code >> 8) & 255, code & 255, n)
-        self.grow(one, code >> 16, code & 255, n)
-
-    def deeper(self, code: np.ndarray, n: np.ndarray, known: np.ndarray, depths: int) -> None:
-        """More depths from (node, a byte before it or two, symbol); not ``known``: the farther one is rare."""
-        symbol = code & 255
-        if depths == 1:
-            self.grow(code >> 16, (code >> 8) & 255, symbol, n)
-            return
-        node = self.grow(code >> 24, (code >> 16) & 255, symbol, n)
-        self.grow(np.where(known, node, 0), (code >> 8) & 255, symbol, n)
-
-    def grow(self, node: np.ndarray, byte: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Children of ``node`` for the frequent bytes before it; each row's child, or 0."""
-        key = np.where(node > 0, (node << 8) | byte, -1)
-        keys, inverse = np.unique(key, return_inverse=True)
-        total = np.bincount(inverse, weights=n, minlength=len(keys))
-        kept = (keys >= 0) & (total >= self.least)
-        base = sum(len(s) for s in self.symbols)
-        place = np.full(len(keys), -1)
-        place[kept] = np.arange(kept.sum())
-        own = place[inverse]
-        rows = own >= 0
-        symbols = np.bincount(own[rows] * 256 + symbol[rows], weights=n[rows], minlength=kept.sum() * 256).reshape(kept.sum(), 256)
-        self.symbols.append(symbols)
-        self.parents.append(keys[kept] >> 8)
-        self.edges.append((keys[kept] >> 8, keys[kept] & 255, base + np.arange(kept.sum())))
-        return np.where(rows, base + own, 0)
-
-    def child(self) -> np.ndarray:
-        out = np.zeros((sum(len(s) for s in self.symbols), 256), dtype=np.int32)
-        for parent, byte, node in self.edges:
-            out[parent, byte] = node
+class Tier:
+    """``SPAN`` depths of the tree below some nodes; with ``root`` the root's own depth too.
+
+    ``below`` has for the deepest pairs, at each of the eight decisions of the symbol, the log
+    probability that all subtrees under their context give to what was seen there; None for leaves.
+    """
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, below: np.ndarray | None = None, root: bool = False):
+        self.below, self.root = below, root
+        self.chain = [Pairs(code, n.astype(np.float64))]
+        for _ in range(SPAN):
+            last = self.chain[-1]
+            shorter = ((last.code >> np.uint64(16)) << np.uint64(8)) | (last.code & np.uint64(255))
+            code, last.up = np.unique(shorter, return_inverse=True)
+            self.chain.append(Pairs(code, np.bincount(last.up, weights=last.n, minlength=len(code))))
+
+    @property
+    def top(self) -> Pairs:
+        return self.chain[-1]
+
+    def _climb(self, level: int) -> tuple[list[tuple], np.ndarray]:
+        """What each depth keeps for the way down, deepest first; and what is below the top pairs."""
+        split = [pairs.decisions(level) for pairs in self.chain]
+        kept, below = [], None if self.below is None else self.below[split[0][0], level]
+        for d, (pairs, (first, group, zeros, ones)) in enumerate(zip(self.chain, split)):
+            if d == SPAN and not self.root:
+                break
+            own, stay = kt_log(zeros, ones), None
+            whole = own
+            if below is not None:
+                stay = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
+                whole = np.logaddexp(own, below) - np.log(2)
+            kept.append((first, group, kt_one(zeros, ones), stay))
+            if d < SPAN:
+                above = split[d + 1][1]
+                below = np.bincount(above[pairs.up[first]], weights=whole, minlength=above[-1] + 1)
+        return kept, below if self.root else below[split[-1][1]]
+
+    def climbed(self) -> np.ndarray:
+        """What is below the top pairs, at each decision."""
+        return np.stack([self._climb(level)[1] for level in range(8)], axis=1)
+
+    def _descend(self, level: int, mixed: np.ndarray | None, left: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """For the deepest pairs: probability of a 1 that the depths so far settle, and the share that is left to deeper ones."""
+        kept, _ = self._climb(level)
+        for d in range(len(kept) - 1, -1, -1):
+            first, group, one, stay = kept[d]
+            if mixed is None:
+                before, share = np.zeros(len(first)), np.ones(len(first))
+            else:
+                before, share = mixed[self.chain[d].up[first]], left[self.chain[d].up[first]]
+            stays = share if stay is None else share * stay
+            mixed, left = (before + stays * one)[group], (share - stays)[group]
+        return mixed, left
+
+    def descended(self, mixed: np.ndarray | None = None, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The same for all eight decisions, from what the top pairs got; the root needs nothing."""
+        each = [self._descend(k, *((None, None) if mixed is None else (mixed[:, k], left[:, k]))) for k in range(8)]
+        return np.stack([m for m, _ in each], axis=1), np.stack([x for _, x in each], axis=1)
+
+    def logs(self, mixed: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """log10 probability of the symbol of each of the deepest pairs, which are leaves."""
+        out = np.zeros(len(self.chain[0].code))
+        for level in range(8):
+            one, _ = self._descend(level, mixed[:, level], left[:, level])
+            bit = (self.chain[0].code >> np.uint64(7 - level)) & np.uint64(1)
+            out += np.log10(np.where(bit == 1, one, 1 - one))
         return out
 
-    def _rest(self, d: int, parent: np.ndarray) -> np.ndarray:
-        """What nodes of depth ``d`` have seen in contexts too rare for a node of their own."""
-        rest = self.symbols[d].copy()
-        np.subtract.at(rest, parent, self.symbols[d + 1])
-        return rest
-
-    def tree(self) -> Tree:
-        """Mixtures of all depths. A node's rare contexts are one child, which is a leaf."""
-        last = len(self.symbols) - 1
-        bases = np.cumsum([0, *[len(s) for s in self.symbols]])
-        parents = [p - bases[d - 1] if d else p for d, p in enumerate(self.parents)]
-        stays: list[np.ndarray] = [None] * last  # what a node keeps for its own estimate
-        whole = _in_parts(lambda x: kt_log(*bit_counts(x)), self.symbols[last])
-        for d in range(last - 1, -1, -1):
-            below = _in_parts(lambda x: kt_log(*bit_counts(x)), self._rest(d, parents[d + 1]))
-            np.add.at(below, parents[d + 1], whole)
-            own = _in_parts(lambda x: kt_log(*bit_counts(x)), self.symbols[d])
-            stays[d] = (1 / (1 + np.exp(np.clip(below - own, -700, 700)))).astype(np.float32)
-            whole = np.logaddexp(own, below) - np.log(2)
-        logs, mixed, left = [], np.zeros((2, 255)), np.ones((2, 255))
-        for d in range(last + 1):
-            if d:
-                mixed, left = mixed[parents[d]], left[parents[d]]
-            own = _in_parts(lambda x: kt_one(*bit_counts(x)), self.symbols[d])
-            if d < last:
-                mixed, left = mixed + left * stays[d] * own, left * (1 - stays[d])
-                own = _in_parts(lambda x: kt_one(*bit_counts(x)), self._rest(d, parents[d + 1]))
-            logs.append(_in_parts(_byte_logs, mixed + left * own, np.float32, 256))
-        return Tree(self.child(), np.concatenate(logs))
-
-
-def _in_parts(fn, rows: np.ndarray, kind: type = np.float64, width: int = 255, size: int = 4096) -> np.ndarray:
-    """``fn`` of many rows, some thousands at a time, as it makes several arrays on the way."""
-    out = np.zeros((len(rows), width), dtype=kind)
-    for k in range(0, len(rows), size):
-        out[k : k + size] = fn(rows[k : k + size])
-    return out
 
+def _summed(parts: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of all bodies and their total counts, merged as they come in."""
+    code, n, held = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
 
-def _codes(counts: DataFrame) -> list[np.ndarray]:
-    """Counts of codes on the driver, ``2 ** RARE * 256`` of each depth at most."""
-    rows = counts.toArrow()
-    kinds = {"code": np.int64, "n": np.float64, "known": bool}
-    return [rows.column(c).to_numpy().astype(kinds[c]) for c in counts.columns]
+    def merged():
+        codes, counts = (np.concatenate(x) for x in zip((code, n), *held))
+        distinct, place = np.unique(codes, return_inverse=True)
+        return distinct, np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
 
+    waiting = 0
+    for body in parts:
+        rows = unpacked(body)
+        held.append((np.cumsum(_array(rows, "code"), dtype=np.uint64), _array(rows, "n")))
+        waiting += rows.num_rows
+        if waiting > 500_000 + len(code):
+            code, n = merged()
+            held, waiting = [], 0
+    return merged()
 
-def learn_tree(texts: DataFrame, triples: DataFrame) -> Tree:
-    """The tree of ``texts(text)``, whose byte triples are counted in ``triples(code, n)``."""
-    code, n = _codes(triples.select("code", "n"))
-    build = Builder(max(1.0, n.sum() / 2**RARE))
-    build.first(code, n)
-    for depth in range(2, DEPTH, 2):
-        depths = min(2, DEPTH - depth)
-        shared = texts.sparkSession.sparkContext.broadcast(build.child())
-        counted = texts.mapInArrow(_deeper_pass(shared, depth), _COUNTS).groupBy("code").agg(F.sum("n").alias("n"))
-        counted = stored(counted, "contexts")
-        build.deeper(*_codes(_frequent(counted, build.least, depths)), depths)
-    return build.tree()
 
+def _below_rows(tier: Tier, keys: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple]:
+    below = tier.climbed()
+    for key, at in _dealt(keys(tier.top.code)):
+        yield key, _BELOW, None, packed(code=tier.top.code[at], n=tier.top.n[at], **_eight("below", below[at]))
 
-def _frequent(counted: DataFrame, least: float, depths: int) -> DataFrame:
-    """(code, n, known) of the contexts that get a node; of two depths, rare farther bytes folded into one row."""
 
-    def contexts(bits: int, name: str) -> DataFrame:
-        """At most ``2 ** RARE`` contexts, as each has ``least`` bytes."""
-        of = counted.groupBy(F.shiftright("code", bits).alias(name)).agg(F.sum("n").alias("total"))
-        return F.broadcast(of.where(F.col("total") >= least).select(name))
+def _above_rows(code: np.ndarray, mixed: np.ndarray, left: np.ndarray, keys: np.ndarray) -> Iterator[tuple]:
+    for key, at in _dealt(keys):
+        yield key, _ABOVE, None, packed(code=code[at], **_eight("mixed", mixed[at]), **_eight("left", left[at]))
 
-    near = counted.join(contexts(8 * depths, "near"), F.shiftright("code", 8 * depths) == F.col("near"))
-    if depths == 1:
-        return near.select("code", "n", F.lit(True).alias("known"))
-    joined = near.join(contexts(8, "far"), F.shiftright("code", 8) == F.col("far"), "left")
-    known, folded = F.col("far").isNotNull(), F.col("code").bitwiseAND(F.lit(~0xFF00 & (2**63 - 1)))
-    joined = joined.select(F.when(known, F.col("code")).otherwise(folded).alias("code"), known.alias("known"), "n")
-    return joined.groupBy("code", "known").agg(F.sum("n").alias("n")).select("code", "n", "known")
 
+def _tier_of(parts: Sequence[pa.RecordBatch], root: bool = False) -> Tier:
+    code = np.concatenate([_array(p, "code") for p in parts])
+    order = np.argsort(code)
+    n, below = np.concatenate([_array(p, "n") for p in parts]), _of_eight(parts, "below")
+    return Tier(code[order], n[order], below[order], root)
 
-# --- the operator --------------------------------------------------------------------
 
+def _in_order(parts: Sequence[pa.RecordBatch], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the pairs above got, in the order of the pairs ``wanted``, all of which are there."""
+    place = np.concatenate([_array(p, "code") for p in parts])
+    order = np.argsort(place)[np.searchsorted(np.sort(place), wanted)]
+    return _of_eight(parts, "mixed")[order], _of_eight(parts, "left")[order]
 
-def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
-    Learns from the texts outside the held-out fold and scores all. ``score`` is the log10
-    probability of the lower-cased text and its end. Null texts count as empty, null ids as
-    the empty text in the folds; repeated rows are scored each and learned from each.
-    Without training texts every byte has probability 1 / 256.
-    """
-    spark = docs.sparkSession
-    id_ = named(id_column)
-    given = docs.select(id_.alias("id"), named(text_column).cast("binary").alias("text"), (crc_fold(id_, FOLDS) == HELD_OUT).alias("held_out"))
-    training = given.where("not held_out").select("text")
-    counted = stored(training.mapInArrow(_first_pass, _COUNTS).groupBy("token", "code").agg(F.sum("n").alias("n")), "counts")
-    tree = learn_tree(training, counted.where("code is not null"))
-    words = counted.where("token is not null").select("token", "n")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
-    frequent = words.where(F.col("n") * 2**FREQUENT >= total).toArrow()  # 2 ** FREQUENT tokens at most
-    frequent = dict(zip(frequent.column("token").to_pylist(), frequent.column("n").to_pylist()))
-    shared = spark.sparkContext.broadcast((tree, frequent))
-    scale = np.log10(total + 0.5 * (distinct + 1))
+def _upper_keys(code: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """The task of pairs whose tier begins ``bits`` above the symbol."""
+    return _bucket(code >> np.uint64(8 + bits), buckets)
+
+
+def _leaves(depth: int, upper: int) -> Callable:
+    """Sums up the pairs of a bucket, and resolves the deepest depths."""
+
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in _keyed(stream):
+            code, n = _summed(r[3] for r in rows)
+            yield _rows([(key, _PAIRS, None, packed(code=_steps(code), n=n))])
+            yield from _shipped(_below_rows(Tier(code, n), lambda c: _upper_keys(c, 8 * SPAN, upper) if depth > 2 * SPAN else np.zeros(len(c), np.int64)))
+
+    return task
+
+
+def _shipped(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    for row in rows:
+        yield _rows([row])
+
+
+def _climbing(last: bool, upper: int) -> Callable:
+    """Resolves the depths of a middle tier; ``last``: the tier above is the root's."""
+
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _keyed(stream):
+            tier = _tier_of([unpacked(r[3]) for r in rows])
+            yield from _shipped(_below_rows(tier, lambda c: np.zeros(len(c), np.int64) if last else _upper_keys(c, 8 * SPAN, upper)))
 
-    def make():
-        tree, frequent = shared.value
-        logs = {t: float(np.log10(n + 0.5) - scale) for t, n in frequent.items()}
+    return task
+
+
+def _root(keys: Callable[[np.ndarray], np.ndarray]) -> Callable:
+    """The first ``SPAN`` depths, at most ``256 ** (SPAN + 1)`` pairs, and on the way down to the tier below."""
+
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _keyed(stream):
+            tier = _tier_of([unpacked(r[3]) for r in rows], root=True)
+            code = tier.chain[0].code
+            yield from _shipped(_above_rows(code, *tier.descended(), keys(code)))
+
+    return task
 
-        def rows(texts):
+
+def _descending(keys: Callable[[np.ndarray], np.ndarray]) -> Callable:
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _keyed(stream):
+            below, above = [], []
+            for _, kind, _, body in rows:
+                (below if kind == _BELOW else above).append(unpacked(body))
+            tier = _tier_of(below)
+            code = tier.chain[0].code
+            yield from _shipped(_above_rows(code, *tier.descended(*_in_order(above, tier.top.code)), keys(code)))
+
+    return task
+
+
+def _answering(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each slice the log probabilities of the pairs it asked this bucket for, in their order."""
+    for key, rows in _keyed(stream):
+        tier, above, logs = None, [], None
+        for _, kind, number, body in rows:
+            part = unpacked(body)
+            if kind == _PAIRS:
+                tier = Tier(np.cumsum(_array(part, "code"), dtype=np.uint64), _array(part, "n"))
+            elif kind == _ABOVE:
+                above.append(part)
+            else:
+                if logs is None:
+                    logs = tier.logs(*_in_order(above, tier.top.code)).astype(np.float32)
+                asked = np.cumsum(_array(part, "code"), dtype=np.uint64)
+                answer = packed(log=logs[np.searchsorted(tier.chain[0].code, asked)])
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int64()), "bucket": pa.array([key], pa.int64()), "body": pa.array([answer], pa.binary())})
+
+
+def pair_logs(asked: DataFrame, buckets: int) -> DataFrame:
+    """(slice, bucket, body): the answers to ``asked``, rows of ``ROW`` with the pairs of each slice and bucket."""
+    upper = min(buckets, MOST_UPPER)
+    tiers = DEPTH // SPAN
+    if tiers == 1:
+        raise ValueError("the tree needs two tiers at least")
+    leaves = stored(_by_key(asked, _leaves(DEPTH, upper)), "leaves")
+    levels = [leaves.where(F.col("kind") == _BELOW)]
+    for tier in range(tiers - 2, 0, -1):
+        levels.append(stored(_by_key(levels[-1], _climbing(tier == 1, upper)), "climbed"))
+
+    def keys(tier: int) -> Callable[[np.ndarray], np.ndarray]:
+        """Where pairs at the deep end of this tier go on the way down."""
+        if tier == tiers - 2:
+            return lambda code: _bucket(code >> np.uint64(8), buckets)
+        return lambda code: _bucket(code >> np.uint64(8), upper)
+
+    above = stored(_by_key(levels[-1], _root(keys(0))), "descended")
+    for tier in range(1, tiers - 1):
+        above = stored(_by_key(levels[tiers - 2 - tier].unionByName(above), _descending(keys(tier))), "descended")
+    rows = leaves.where(F.col("kind") == _PAIRS).unionByName(above).unionByName(asked)
+    return _by_key(rows, _answering, "slice long, bucket long, body binary")
+
+
+# --- the operator --------------------------------------------------------------------
+
+
+def _scored(buckets: int, shared, scale: float, schema: T.StructType) -> Callable:
+    """The rows of a slice, from its texts and the answers to what it asked."""
+
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = {t: float(np.log10(n + 0.5) - scale) for t, n in shared.value.items()}
+        for _, rows in _keyed(stream):
+            slice_, answers = None, {}
+            for _, kind, bucket, body in rows:
+                if kind == _ANSWER:
+                    answers[bucket] = _array(unpacked(body), "log")
+                else:
+                    slice_ = unpacked(body)
+            texts = slice_.column("text").to_pylist()
+            code, sizes = pairs_of(texts)
+            every, place = np.unique(code, return_inverse=True)
+            values = np.empty(len(every))
+            for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets)):
+                values[at] = answers[key]
+            scores = np.add.reduceat(values[place], np.cumsum(sizes) - sizes)
             counts, known, base, rare = [], [], [], []
             for text in texts:
                 tokens = tokens_of(text)
@@ -413,18 +530,44 @@ def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 base.append(float(np.sum(own)))
                 rest = Counter(t for t in tokens if t not in logs) if len(own) < len(tokens) else {}
                 rare.append([{"token": t, "n": n} for t, n in rest.items()])
-            return [counts, known, base, tree.score(texts), [len(t or b"") + 1 for t in texts], rare]
+            yield batches(schema, [slice_.column("id"), slice_.column("held_out"), counts, known, base, scores, sizes, rare])
 
-        return rows
+    return task
 
-    made = [field("n_tokens", "long"), field("known", "long"), field("base", "double"), field("score", "double"), field("n_bytes", "long"), field("rare", "array<struct<token:binary,n:long>>")]
-    scored = with_columns(given, [F.col("text")], made, make, ["id", "held_out"])
+
+def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
+
+    Learns from the texts outside the held-out fold and scores all. ``score`` is the log10
+    probability of the lower-cased text and its end. Null texts count as empty, null ids as
+    the empty text in the folds; repeated rows are scored each and learned from each.
+    Without training texts every byte has probability 1 / 256. Texts are taken whole, each
+    in one task. An empty table gives no rows; further columns don't matter.
+    """
+    id_ = named(id_column)
+    given = docs.select(id_.alias("id"), named(text_column).cast("binary").alias("text"), (crc_fold(id_, FOLDS) == HELD_OUT).alias("held_out"))
+    slices = given.mapInArrow(_slices, "size long, body binary").withColumn("slice", F.monotonically_increasing_id())
+    slices = stored(slices, "slices")
+    buckets = min(MOST_BUCKETS, max(1, ceil((slices.agg(F.sum("size")).first()[0] or 0) / BUCKET)))
+    asking = stored(slices.select("slice", "body").mapInArrow(_asking(buckets), _ASKING), "asked")
+    words = stored(asking.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
+    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+    frequent = words.where(F.col("n") * 2**FREQUENT >= total).toArrow()  # 2 ** FREQUENT tokens at most
+    frequent = dict(zip(frequent.column("token").to_pylist(), frequent.column("n").to_pylist()))
+    shared, scale = docs.sparkSession.sparkContext.broadcast(frequent), float(np.log10(total + 0.5 * (distinct + 1)))
+    answers = pair_logs(asking.where("body IS NOT NULL").select("key", "kind", "slice", "body"), buckets)
+    texts = slices.select(F.col("slice").alias("key"), F.lit(_PAIRS).alias("kind"), F.col("slice"), "body")
+    texts = texts.unionByName(answers.select(F.col("slice").alias("key"), F.lit(_ANSWER).alias("kind"), F.col("bucket").alias("slice"), "body"))
+    schema = T.StructType([
+        T.StructField("id", given.schema["id"].dataType), field("held_out", "boolean"), field("n_tokens", "long"), field("known", "long"),
+        field("base", "double"), field("score", "double"), field("n_bytes", "long"), field("rare", "array<struct<token:binary,n:long>>"),
+    ])
+    scored = _by_key(texts, _scored(buckets, shared, scale, schema), schema)
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.token").alias("token"), F.col("r.n").alias("times"))
-    seen = rare.join(words, "token", "left")
-    seen = seen.groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(float(scale)))).alias("rare_base"),
+    log: Column = F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(scale)
+    seen = rare.join(words, "token", "left").groupBy("row").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"), F.sum(F.col("times") * log).alias("rare_base")
     )
     out = scored.drop("rare").join(seen, "row", "left")
     return out.select(

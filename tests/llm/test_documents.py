@@ -195,63 +195,6 @@ def test_base_scores_and_probabilities(spark):
         assert r.score < 0
 
 
-def weighted(training, depth):
-    """Context-tree weighting by definition: the sequence probability of every node, recursively."""
-    edge = b"\xff" * depth
-
-    def kt(bits):
-        p, n = 1.0, [0, 0]
-        for b in bits:
-            p *= (n[b] + 0.5) / (sum(n) + 1)
-            n[b] += 1
-        return p
-
-    def probability(seen, d):
-        own = kt([b for _, b in seen])
-        if d == depth:
-            return own
-        children = {}
-        for context, b in seen:
-            children.setdefault(context[len(context) - 1 - d], []).append((context, b))
-        return 0.5 * own + 0.5 * math.prod(probability(c, d + 1) for c in children.values())
-
-    def decisions(text):
-        data = edge + text + b"\xff"
-        for k in range(depth, len(data)):
-            for level in range(8):
-                yield (data[k] >> (8 - level), level), data[:k], (data[k] >> (7 - level)) & 1
-
-    seen = {}
-    for text in training:
-        for node, context, bit in decisions(text):
-            seen.setdefault(node, []).append((context, bit))
-    return seen, probability, decisions
-
-
-def test_tree_mixes_like_the_definition(monkeypatch):
-    """The first decision after the training text: ratio of two sequence probabilities."""
-    monkeypatch.setattr(scoring, "DEPTH", 2)
-    training = [b"abab", b"abba", b"b"]
-    seen, probability, decisions = weighted(training, 2)
-    code, n = scoring._counted(np.concatenate([_triples([t]) for t in training]))
-    build = scoring.Builder(1.0)
-    build.first(code, n.astype(float))
-    tree = build.tree()
-    for text in (b"a", b"ba", b"abb"):
-        # each decision on its own, with the counts of the training texts
-        want = sum(math.log10(probability([*seen.get(node, []), (context, bit)], 0) / probability(seen.get(node, []), 0)) for node, context, bit in decisions(text))
-        assert tree.score([text])[0] == pytest.approx(want, abs=0.35)
-        known = [(node, c, b) for node, c, b in decisions(text) if any(x[-2:] == c[-2:] for x, _ in seen.get(node, []))]
-        assert known
-    assert np.allclose((10.0 ** tree.logs[1:].astype(float)).sum(axis=1), 1, atol=1e-5)
-
-
-def _triples(texts):
-    data, symbol = scoring._stream(texts)
-    wide = data.astype(np.uint32)
-    return ((wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:])[symbol[2:]]
-
-
 def test_scores_without_training(spark, empty):
     assert scoring.language_scores(empty).count() == 0
     only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
