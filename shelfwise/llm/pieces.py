@@ -71,7 +71,7 @@ class CharacterMap:
     def _child(self, node: int, byte: int) -> int:
         unit = self.units[node]
         nxt = node ^ ((unit >> 10) << ((unit & 512) >> 6)) ^ byte
-        return nxt if self.units[nxt] & 0x800000FF == byte else 0
+        return nxt if nxt < len(self.units) and self.units[nxt] & 0x800000FF == byte else 0
 
     def longest(self, source: bytes, at: int) -> tuple[int, bytes] | None:
         """(length, replacement) of the longest mapped prefix of ``source[at:]``."""
@@ -138,9 +138,10 @@ class Model:
     def _mapped(self, source: bytes) -> Normalised:
         """Longest-prefix replacement, with the alignment of every character."""
         if not self.map.first:
-            text = source.decode("utf-8", "replace")
-            if len(text.encode()) == len(source):
-                return Normalised(text, _char_starts(source))
+            try:
+                return Normalised(source.decode(), _char_starts(source))
+            except UnicodeDecodeError:
+                pass
         out, starts, at, plain = [], [], 0, re.compile(b"[^" + b"".join(re.escape(bytes([b])) for b in sorted(self.map.first | set(range(128, 256)))) + b"]+")
         while at < len(source):
             same = plain.match(source, at)
@@ -153,8 +154,7 @@ class Model:
             if found:
                 length, text = found[0], found[1].decode()
             else:
-                length = _char_length(source, at)
-                text = source[at : at + length].decode("utf-8", "replace")
+                length, text = _char_at(source, at)
             out.append(text)
             starts.append(np.full(len(text), at))
             at += length
@@ -280,9 +280,14 @@ def _char_starts(source: bytes) -> np.ndarray:
     return np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(source))
 
 
-def _char_length(source: bytes, at: int) -> int:
+def _char_at(source: bytes, at: int) -> tuple[int, str]:
+    """Bytes and text of the character at a place; a byte that begins none is a replacement character of its own."""
     lead = source[at]
-    return 1 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+    length = 1 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+    try:
+        return length, source[at : at + length].decode()
+    except UnicodeDecodeError:
+        return 1, "\ufffd"
 
 
 # --- Spark -----------------------------------------------------------------------------
@@ -316,7 +321,7 @@ def encode(docs: DataFrame, model_path: str, keep: list[str] | None = None) -> D
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``encoded`` with the text that the ids stand for."""
+    """``encoded`` with the text that the ids stand for; a null list stands for the empty text."""
     shared = _loaded(encoded.sparkSession, model_path)
 
     def make():

@@ -19,28 +19,48 @@ KINDS = (*BASE, "opaque")
 ASSIGN_LEAST = 12
 #: A value that so many owners have is an example; with fewer it looks live.
 EXAMPLE_OWNERS = 3
+#: Matches that are added up at a time.
+RUN = 256
 
 _SPAN = "struct<start:bigint,ord:int,end:bigint,value:string>"
 
 
 def _spans(text: Column, order: int, pattern: str, group: int) -> Column:
-    """All matches of ``pattern`` in order: start and end in code points, and the value."""
-    gaps = F.split(text, pattern, -1)
-    whole, value = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    found = F.struct(F.transform(gaps, F.char_length).alias("gaps"), F.transform(whole, F.char_length).alias("sizes"), value.alias("values"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
-
-    def step(done: Column, k: Column, hits: Column) -> Column:
-        begin = done["at"] + hits["gaps"][k]
-        end = begin + hits["sizes"][k]
-        span = F.struct(begin.alias("start"), F.lit(order).alias("ord"), end.alias("end"), hits["values"][k].alias("value"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
+    """All matches of ``pattern`` in order: start and end in code points, and the value.
+
+    A start is the sum of the gaps and matches before it. These are added up in runs of
+    ``RUN`` matches, then within each run, so the work stays linear in the matches of a text.
+    """
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
+    found = F.struct(gaps.alias("gaps"), F.transform(whole, F.char_length).alias("sizes"), value.alias("values"))
+    zero = F.lit(0).cast("long")
+
+    def matches(run: Column, n: Column) -> Column:
+        return F.sequence(run * RUN, F.least((run + 1) * RUN, n) - 1)
+
+    def starts(hits: Column) -> Column:
+        """Where each run of matches begins."""
+        runs = F.sequence(F.lit(0), F.floor((F.size(hits["sizes"]) - 1) / RUN).cast("int"))
+        total = lambda run: F.aggregate(matches(run, F.size(hits["sizes"])), zero, lambda at, k: at + hits["gaps"][k] + hits["sizes"][k])
+        begin = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        step = lambda done, size: F.struct((done["at"] + size).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out"))
+        return F.aggregate(F.transform(runs, total), begin, step, lambda done: done["out"])
+
+    def run_spans(hits: Column, run: Column, at: Column) -> Column:
+        begin = F.struct(at.alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+
+        def step(done: Column, k: Column) -> Column:
+            first = done["at"] + hits["gaps"][k]
+            last = first + hits["sizes"][k]
+            span = F.struct(first.alias("start"), F.lit(order).alias("ord"), last.alias("end"), hits["values"][k].alias("value"))
+            return F.struct(last.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
+
+        return F.aggregate(matches(run, F.size(hits["sizes"])), begin, step, lambda done: done["out"])
 
     # One element, so that the matches are looked for once and not at every step.
-    spans = F.transform(
-        F.array(found),
-        lambda hits: F.aggregate(F.sequence(F.lit(0), F.size(hits["sizes"]) - 1), start, lambda d, k: step(d, k, hits), lambda d: d["out"]),
-    )[0]
+    spans = F.transform(F.array(found), lambda hits: F.flatten(F.transform(starts(hits), lambda at, run: run_spans(hits, run, at))))[0]
     return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
@@ -88,9 +108,10 @@ def secret_scan(
     repository = named(repository_column)
     found = candidates(docs, named(id_column), named(text_column), repository, F.substring_index(repository.cast("string"), "/", 1))
     found = stored(found.withColumn("row", F.monotonically_increasing_id()), "candidates")
-    owned = ownership(found.where(F.size("spans") > 0))
+    owned = stored(ownership(found.where(F.size("spans") > 0)), "owners")
     each = found.where(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s", F.col("s.hash").alias("hash"))
-    weighed = each.join(owned, "hash").withColumn("example", F.col("n_owners") >= example_owners)
+    # A merge join of two fresh shuffles, so that adaptive execution can split a value that a third of all documents hold.
+    weighed = each.hint("merge").join(owned.hint("merge"), "hash").withColumn("example", F.col("n_owners") >= example_owners)
     kept = weighed.where((F.col("s.ord") < len(BASE)) | ~F.col("example"))
     per_row = kept.groupBy("row").agg(
         F.collect_list(F.struct("s.start", "s.ord", "s.end")).alias("all"),

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm.batches import crc_fold, field, free_name, id_text, named, with_columns
 
 WIDTH = 20
-SAMPLE = 12_000
+#: Labelled ids that teach, and the most features of a text that do.
+SAMPLE, TAUGHT = 12_000, 1 << 17
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: FTRL-proximal: learning rate, its smoothing, L1, L2, passes over the sample.
@@ -61,12 +62,20 @@ def _split(row: np.ndarray, feature: np.ndarray, n: int) -> list[np.ndarray]:
     return np.split(feature, np.searchsorted(row, np.arange(1, n)))
 
 
+def _taught(feature: np.ndarray) -> np.ndarray:
+    """The distinct features of a text, or ``TAUGHT`` of them in the order of a hash."""
+    if len(feature) <= TAUGHT:
+        return feature
+    order = np.argsort(feature.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
+    return np.sort(feature[order[:TAUGHT]])
+
+
 def _featurised():
     hashes = WordHashes()
 
     def rows(texts):
         row, feature = _distinct(*features(texts, hashes))
-        return [[x.astype(np.int32) for x in _split(row, feature, len(texts))]]
+        return [[_taught(x).astype(np.int32) for x in _split(row, feature, len(texts))]]
 
     return rows
 
@@ -113,8 +122,9 @@ def _fit(rows: pa.Table) -> pa.Table:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
     """(feature, weight) with the bias as feature -1, from labelled rows outside the held-out fold.
 
-    At most ``sample`` labelled ids are used, the first in the order of a hash of the id, so
-    that one task can take them in turn. An id labelled twice is toxic if any of its
+    At most ``sample`` labelled ids are used, the first in the order of a hash of the id, and
+    one text of each, the first by its hash, so that one task can take them in turn. A text
+    teaches up to ``TAUGHT`` features. An id labelled twice is toxic if any of its
     labels says so; a null label or id teaches nothing. Without examples the result is empty.
     """
     given = (
@@ -126,7 +136,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int =
         .limit(sample)
     )
     texts = docs.select(named("doc_id").alias("id"), named("text").alias("text"))
-    taught = texts.join(F.broadcast(given), "id")  # as many rows as ``sample`` at most
+    taught = texts.join(F.broadcast(given), "id")  # ``sample`` ids at most, but each may stand in many rows
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text")))
+    taught = taught.groupBy("id", "at", "label").agg(first.alias("first")).select("id", "at", "label", F.col("first.text").alias("text"))
     made = with_columns(taught, [F.col("text")], [field("features", "array<int>")], _featurised, ["id", "at", "label"])
     return made.withColumn("model", F.lit(1)).groupBy("model").applyInArrow(_fit, "feature long, weight double")
 
