@@ -75,6 +75,8 @@ class CharacterMap:
 
     def longest(self, source: bytes, at: int) -> tuple[int, bytes] | None:
         """(length, replacement) of the longest mapped prefix of ``source[at:]``."""
+        if source[at] not in self.first:
+            return None
         node, best, k = 0, None, at
         while k < len(source):
             node = self._child(node, source[k])
