@@ -68,9 +68,13 @@ def with_columns(
 
     ``make`` runs once in each task and returns the function of a batch. String
     inputs arrive as UTF-8 bytes, so that text which isn't valid UTF-8 passes too.
-    ``keep`` are the columns that stay (all, if not given).
+    ``keep`` are the columns that stay (all, if not given); a new column can't have the
+    name of one of them.
     """
     kept = list(docs.columns if keep is None else keep)
+    clash = {c.lower() for c in kept} & {f.name.lower() for f in fields}
+    if clash:
+        raise ValueError(f"new columns {sorted(clash)} are there already")
     fed = [named(c) for c in kept]
     n = len(kept)
     source = docs.select(*[c.alias(f"k{i}") for i, c in enumerate(fed)], *[c.alias(f"i{i}") for i, c in enumerate(inputs)])

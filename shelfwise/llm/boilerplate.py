@@ -114,7 +114,7 @@ def drop_boilerplate(
     Lines are compared without the white space around them; blank lines never count nor go.
     A line counts once a page. A null host is the host ""; a null text stays null and has no
     lines, but its page counts. Hosts under ``least_pages`` pages lose nothing. Repeated
-    rows are pages of their own.
+    rows are pages of their own. ``names`` must not be among the columns that are kept.
     """
     host = F.coalesce(host.cast("string"), F.lit(""))
     found = stored(boilerplate_lines(docs.select(host.alias("host"), text.alias("text")), ratio, least_pages), "boilerplate")

@@ -7,6 +7,7 @@ block holds the windows that end so, and each of them is compared word by word.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.batches import field, free_name, id_text, named, stored, with_columns
+from shelfwise.llm.batches import field, free_name, id_text, kept_in_worker, named, stored, with_columns
 
 WINDOW = 13
 SHARE = 20
@@ -74,6 +75,11 @@ def build(pieces: list[tuple[int, bytes]], size: int) -> list[WuManber]:
     return [WuManber(n, {w: frozenset(i) for w, i in own.items()}) for n, own in sorted(windows.items()) if n]
 
 
+def _built(data: bytes) -> tuple[list[str], list[WuManber]]:
+    items, numbered, size = pickle.loads(data)
+    return items, build(numbered, size)
+
+
 def _pieces(size: int):
     """Item texts cut into overlapping pieces, so that a very long item spreads over blocks."""
 
@@ -100,11 +106,11 @@ def _searched(docs: DataFrame, pieces: list[tuple[str, bytes]], size: int, keep:
     """``docs`` with n_words, spans (hit words as [start, end) ) and items."""
     items = sorted({item for item, _ in pieces})
     number = {item: k for k, item in enumerate(items)}
-    shared = docs.sparkSession.sparkContext.broadcast((items, [(number[item], text) for item, text in pieces]))
+    numbered = pickle.dumps((items, [(number[item], text) for item, text in pieces], size))
+    shared = docs.sparkSession.sparkContext.broadcast(numbered)
 
     def make():
-        items, numbered = shared.value
-        searches = build(numbered, size)
+        items, searches = kept_in_worker("windows", shared.value, _built)
 
         def rows(texts):
             counts, spans, names = [], [], []
@@ -150,7 +156,7 @@ def contamination(
     keep = ["doc_id"] if keep is None else keep
     row = free_name(docs, "row")
     given = benchmark.select(id_text(named("item_id")).alias("item"), F.col("text").cast("binary").alias("text"))
-    pieces = given.mapInArrow(_pieces(size), "item string, n long, words binary").distinct()
+    pieces = stored(given.mapInArrow(_pieces(size), "item string, n long, words binary").distinct(), "pieces")
     total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     passes = max(1, -(-total // block_words))
     if passes == 1:

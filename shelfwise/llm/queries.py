@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ from shelfwise.llm import (
 )
 from shelfwise.llm.batches import stored, table
 from shelfwise.llm.oracle import ORACLE  # noqa: F401
+from shelfwise.llm.pipeline import run
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,6 +121,4 @@ def op13_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), planted=True)
 
 
-@query
-def pipeline(spark, sf_dir):
-    return corpus_pipeline.run(spark, sf_dir)
+QUERIES["pipeline"] = run

@@ -198,7 +198,10 @@ def simhash_groups(docs: DataFrame, member: Column, text: Column, shingle: int =
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
+    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable).
+
+    Null and blank texts have fingerprint 0; see ``simhash_groups`` for the other cases.
+    """
     found = simhash_groups(docs, named(id_column), named(text_column))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select(F.col("member").alias(id_column), digits.alias("fingerprint"), F.col("least").alias("component_id"))
@@ -207,12 +210,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with only the row of the smallest id of each near-duplicate group.
 
-    ``docs`` must be a stored table, as rows are told apart by their place in it. Of rows
-    with the same id the first stays; a null id counts as larger than any other.
+    Of rows with the same id one stays; a null id counts as larger than any other. The rows are
+    numbered and written once, so that they are told apart alike by all that reads them.
     """
     row = free_name(docs, "row")
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    placed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     id_ = named(id_column)
     kept = simhash_groups(placed, F.struct(id_.isNull().alias("n"), id_.alias("i"), named(row).alias("r")), named(text_column))
     kept = kept.where("member = least").select(F.col("member.r").alias(row))
-    return placed.join(kept, row, "left_semi").drop(row)
+    return placed.join(stored(kept, "kept"), row, "left_semi").drop(row)

@@ -119,6 +119,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, keep: list[str] | None =
     """``keep`` columns (doc_id), n_words, n_tokens: greedy longest-match pieces of every whole text.
 
     Null and empty texts have none. Bytes that aren't UTF-8 count as replacement characters.
+    Repeated rows are counted each, and an empty table gives no rows.
     """
     with open(vocabulary_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a file of a few MB, not of the corpus
