@@ -40,8 +40,6 @@ from shelfwise.streaming.retrain import BATCH_INTERVAL, Retrainer, micro_batch
 # List lengths of the full and the incremental job.
 OFFLINE_TOP_N = 200
 INCREMENTAL_TOP_N = 300
-
-
 #: Folders of the stored recommendations; a user's lists are in the one of the hash of the user.
 BUCKETS, BUCKET, BUCKET_NOTE = 64, "_bucket", "buckets="
 
@@ -89,10 +87,8 @@ def stamped(recs: DataFrame, as_of: int) -> DataFrame:
     return schema.conform(recs.withColumn("created_at", F.lit(as_of)), schema.RECOMMENDATIONS)
 
 
-def bucketed(recs: DataFrame, buckets: int) -> DataFrame:
-    """Recommendations with their bucket, one partition for each."""
-    placed = recs.withColumn(BUCKET, F.pmod(F.xxhash64(F.col("user_id").cast("long")), F.lit(buckets)).cast("int"))
-    return placed.repartition(buckets, BUCKET)
+def with_bucket(recs: DataFrame, buckets: int) -> DataFrame:
+    return recs.withColumn(BUCKET, F.pmod(F.xxhash64(F.col("user_id").cast("long")), F.lit(buckets)).cast("int"))
 
 
 def _buckets_of(spark: SparkSession, table: Table) -> int | None:
@@ -108,7 +104,8 @@ def recs_publish(recs: DataFrame, table: Table, suffix: str = "", buckets: int =
     """
     target = table.suffixed(suffix)
     if target.is_file:
-        table_overwrite(bucketed(recs, buckets), target, notes=[f"{BUCKET_NOTE}{buckets}"], partition_by=[BUCKET])
+        placed = with_bucket(recs, buckets).repartition(buckets, BUCKET)
+        table_overwrite(placed, target, notes=[f"{BUCKET_NOTE}{buckets}"], partition_by=[BUCKET])
     else:
         table_overwrite(recs, target)
     return target
@@ -131,9 +128,9 @@ def recs_replace(spark: SparkSession, new: DataFrame, table: Table) -> None:
         else:
             table_overwrite(merged, table, reads_target=True)
         return
-    touched = [r[BUCKET] for r in bucketed(new, buckets).select(BUCKET).distinct().collect()]  # one row a bucket at most
+    touched = [r[BUCKET] for r in with_bucket(new, buckets).select(BUCKET).distinct().collect()]  # one row a bucket at most
     stale = table_scan(spark, table, [*schema.RECOMMENDATIONS.fieldNames(), BUCKET]).where(F.col(BUCKET).isin(touched))
-    merged = written(bucketed(replace_by_key(stale.drop(BUCKET), new, "user_id"), buckets), "merged")
+    merged = written(with_bucket(replace_by_key(stale.drop(BUCKET), new, "user_id"), buckets), "merged")
     replace_partitions(merged.repartition(buckets, BUCKET), table, BUCKET, touched)
 
 
