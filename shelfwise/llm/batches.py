@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -109,6 +110,24 @@ def kept_in_worker(kind: str, data: bytes, build: Callable[[bytes], Any]) -> Any
     return _KEPT[key]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Rows go to Python at most about ``size`` bytes at a time, for all that is computed within the block.
+
+    For rows that are packed arrays of some MB, of which the usual 64 MB would be held several times.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)

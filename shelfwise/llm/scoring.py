@@ -33,12 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.batches import batches, crc_fold, field, named, stored
+from shelfwise.llm.batches import batches, crc_fold, field, named, small_batches, stored
 
 #: Bytes of the longest context, and how many depths are resolved together; they divide.
 DEPTH, SPAN = 6, 2
-#: Bytes of a slice, bytes of text for each bucket of pairs, and the most buckets of either kind.
-SLICE, BUCKET = 4 << 20, 16 << 20
+#: Bytes of a slice, bytes whose pairs are made at a time, and bytes of text for each bucket of pairs.
+SLICE, WINDOW, BUCKET = 8 << 20, 4 << 20, 16 << 20
+#: Bytes of packed rows that a task takes at a time.
+ROWS_BYTES = 4 << 20
+#: The most buckets, of leaves and above.
 MOST_BUCKETS, MOST_UPPER = 1 << 16, 1 << 10
 #: Tokens of at least this share of all are scored from a table sent along, the others by a join.
 FREQUENT = 20
@@ -148,21 +151,43 @@ def _slices(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield closed(held, size)
 
 
-def pairs_of(texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The pair of every symbol of the lower-cased texts, ends included; how many symbols each text has."""
-    pad, edge = bytes([EDGE]) * DEPTH, bytes([EDGE])
-    parts = [pad + (t or b"").lower() + edge for t in texts]
-    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-    data = np.frombuffer(b"".join(parts), dtype=np.uint8)
-    n = len(data) - DEPTH
-    code = data[DEPTH:].astype(np.uint64)
-    for back in range(1, DEPTH + 1):
-        code |= data[DEPTH - back : DEPTH - back + n].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
-    symbol = np.ones(len(data), dtype=bool)
-    starts = np.cumsum(sizes) - sizes
-    for k in range(DEPTH):
-        symbol[starts + k] = False
-    return code[symbol[DEPTH:]], sizes - DEPTH
+class Laid:
+    """Lower-cased texts end to end, each behind ``DEPTH`` edges and with one as its last symbol."""
+
+    def __init__(self, texts: Sequence[bytes | None]):
+        pad, edge = bytes([EDGE]) * DEPTH, bytes([EDGE])
+        parts = [pad + (t or b"").lower() + edge for t in texts]
+        #: Symbols of each text.
+        self.sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) - DEPTH
+        self.data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+
+    def windows(self, first: int, last: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(texts from, to, pairs of their symbols) for the texts from ``first`` to ``last``.
+
+        A window has about ``WINDOW`` symbols; a longer text is spread over several.
+        """
+        ends = np.cumsum(self.sizes + DEPTH)
+        starts = ends - self.sizes  # of the symbols
+        at = first
+        while at < last:
+            upto = max(at + 1, int(np.searchsorted(ends, starts[at] + WINDOW, side="right")))
+            upto = min(upto, last)
+            for a in range(int(starts[at]), int(ends[upto - 1]), WINDOW) if upto == at + 1 else [int(starts[at])]:
+                b = min(a + WINDOW, int(ends[at])) if upto == at + 1 else int(ends[upto - 1])
+                code = self._pairs(a, b)
+                if upto > at + 1:
+                    symbol = np.ones(b - a, dtype=bool)
+                    for k in range(1, DEPTH + 1):
+                        symbol[starts[at + 1 : upto] - k - a] = False
+                    code = code[symbol]
+                yield at, upto, code
+            at = upto
+
+    def _pairs(self, a: int, b: int) -> np.ndarray:
+        code = self.data[a:b].astype(np.uint64)
+        for back in range(1, DEPTH + 1):
+            code |= self.data[a - back : b - back].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
+        return code
 
 
 def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +197,26 @@ def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[first], np.diff(np.append(first, len(codes)))
 
 
+def _merged(code: np.ndarray, n: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of both, each by distinct ascending numbers."""
+    every, total = np.concatenate([code, more]), np.concatenate([n, counts])
+    order = np.argsort(every, kind="stable")  # two runs in order, which it merges
+    every, total = every[order], total[order]
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    return every[first], np.add.reduceat(total, first) if len(first) else total
+
+
+def _distinct_pairs(texts: Sequence[bytes | None], taught: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of all texts, and how often each occurs in the first ``taught`` ones."""
+    laid = Laid(texts)
+    every, n = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    for first, last in ((0, taught), (taught, len(texts))):
+        for _, _, code in laid.windows(first, last):
+            seen, counts = _counted(code)
+            every, n = _merged(every, n, seen, counts if first < taught else 0 * counts)
+    return every, n
+
+
 def tokens_of(text: bytes | None) -> list[bytes]:
     """The lower-cased words of a text and its end, which is a token too."""
     return [*(text or b"").lower().split(), END]
@@ -202,12 +247,7 @@ def _asking(buckets: int) -> Callable:
             for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows = unpacked(body)
                 texts, held = rows.column("text").to_pylist(), _array(rows, "held_out").astype(bool)
-                code, sizes = pairs_of(texts)
-                taught = int(sizes[~held].sum())  # those held out stand behind the others
-                seen, n = _counted(code[:taught])
-                every = np.union1d(seen, code[taught:])
-                counts = np.zeros(len(every), dtype=np.int64)
-                counts[np.searchsorted(every, seen)] = n
+                every, counts = _distinct_pairs(texts, int((~held).sum()))  # those held out stand behind the others
                 out = [
                     (key, _ASKED, number, packed(code=_steps(every[at]), n=counts[at]))
                     for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets))
@@ -219,7 +259,7 @@ def _asking(buckets: int) -> Callable:
                 for text, out_of in zip(texts, held):
                     if not out_of:
                         tokens.update(tokens_of(text))
-                if len(tokens) > 300_000:
+                if len(tokens) > 200_000:
                     yield from shipped()
         yield from shipped()
 
@@ -515,12 +555,26 @@ def _scored(buckets: int, shared, scale: float, schema: T.StructType) -> Callabl
                 else:
                     slice_ = unpacked(body)
             texts = slice_.column("text").to_pylist()
-            code, sizes = pairs_of(texts)
-            every, place = np.unique(code, return_inverse=True)
+            laid = Laid(texts)
+            sorted_, every = [], np.zeros(0, dtype=np.uint64)
+            for first, last, code in laid.windows(0, len(texts)):
+                order = np.argsort(code)
+                code = code[order]
+                new = np.concatenate([[True], code[1:] != code[:-1]])
+                sorted_.append((first, last, order.astype(np.uint32), new, code[new]))
+                every = np.union1d(every, code[new])
             values = np.empty(len(every))
             for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets)):
-                values[at] = answers[key]
-            scores = np.add.reduceat(values[place], np.cumsum(sizes) - sizes)
+                values[at] = answers.pop(key)
+            scores = np.zeros(len(texts))
+            for first, last, order, new, distinct in sorted_:
+                logs_of = np.empty(len(order))
+                logs_of[order] = values[np.searchsorted(every, distinct)][np.cumsum(new) - 1]
+                if last == first + 1:
+                    scores[first] += logs_of.sum()
+                else:
+                    scores[first:last] = np.add.reduceat(logs_of, np.cumsum(laid.sizes[first:last]) - laid.sizes[first:last])
+            del sorted_, every, values
             counts, known, base, rare = [], [], [], []
             for text in texts:
                 tokens = tokens_of(text)
@@ -530,22 +584,14 @@ def _scored(buckets: int, shared, scale: float, schema: T.StructType) -> Callabl
                 base.append(float(np.sum(own)))
                 rest = Counter(t for t in tokens if t not in logs) if len(own) < len(tokens) else {}
                 rare.append([{"token": t, "n": n} for t, n in rest.items()])
-            yield batches(schema, [slice_.column("id"), slice_.column("held_out"), counts, known, base, scores, sizes, rare])
+            yield batches(schema, [slice_.column("id"), slice_.column("held_out"), counts, known, base, scores, laid.sizes, rare])
 
     return task
 
 
-def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
-
-    Learns from the texts outside the held-out fold and scores all. ``score`` is the log10
-    probability of the lower-cased text and its end. Null texts count as empty, null ids as
-    the empty text in the folds; repeated rows are scored each and learned from each.
-    Without training texts every byte has probability 1 / 256. Texts are taken whole, each
-    in one task. An empty table gives no rows; further columns don't matter.
-    """
-    id_ = named(id_column)
-    given = docs.select(id_.alias("id"), named(text_column).cast("binary").alias("text"), (crc_fold(id_, FOLDS) == HELD_OUT).alias("held_out"))
+def _scored_slices(docs: DataFrame, id_: Column, text: Column) -> tuple[DataFrame, DataFrame, int, float]:
+    """The rows with their scores, written; the counts of tokens, their sum, and the log of what divides them."""
+    given = docs.select(id_.alias("id"), text.cast("binary").alias("text"), (crc_fold(id_, FOLDS) == HELD_OUT).alias("held_out"))
     slices = given.mapInArrow(_slices, "size long, body binary").withColumn("slice", F.monotonically_increasing_id())
     slices = stored(slices, "slices")
     buckets = min(MOST_BUCKETS, max(1, ceil((slices.agg(F.sum("size")).first()[0] or 0) / BUCKET)))
@@ -564,6 +610,20 @@ def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ])
     scored = _by_key(texts, _scored(buckets, shared, scale, schema), schema)
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    return scored, words, total, scale
+
+
+def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
+
+    Learns from the texts outside the held-out fold and scores all. ``score`` is the log10
+    probability of the lower-cased text and its end. Null texts count as empty, null ids as
+    the empty text in the folds; repeated rows are scored each and learned from each.
+    Without training texts every byte has probability 1 / 256. Texts are taken whole, each
+    in one task. An empty table gives no rows; further columns don't matter.
+    """
+    with small_batches(docs.sparkSession, ROWS_BYTES):
+        scored, words, total, scale = _scored_slices(docs, named(id_column), named(text_column))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.token").alias("token"), F.col("r.n").alias("times"))
     log: Column = F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(scale)
     seen = rare.join(words, "token", "left").groupBy("row").agg(
