@@ -38,7 +38,7 @@ from shelfwise.llm.batches import batches, crc_fold, field, named, small_batches
 #: Bytes of the longest context, and how many depths are resolved together; they divide.
 DEPTH, SPAN = 6, 2
 #: Bytes of a slice, bytes whose pairs are made at a time, and bytes of text for each bucket of pairs.
-SLICE, WINDOW, BUCKET = 8 << 20, 4 << 20, 16 << 20
+SLICE, WINDOW, BUCKET = 8 << 20, 2 << 20, 16 << 20
 #: Bytes of packed rows that a task takes at a time.
 ROWS_BYTES = 4 << 20
 #: The most buckets, of leaves and above.
