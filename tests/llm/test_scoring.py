@@ -122,3 +122,22 @@ def test_tiers_sum_probabilities_to_one():
     root = scoring.Tier(middle.top.code, middle.top.n, middle.climbed(), root=True)
     logs = leaf.logs(*middle.descended(*root.descended()))
     assert (10.0**logs).sum() == pytest.approx(1, abs=1e-12) and logs.argmax() == 99
+
+
+def test_windows_hold_every_symbol_once(monkeypatch):
+    rng = random.Random(4)
+    texts = [bytes(rng.randrange(97, 101) for _ in range(rng.choice([0, 3, 40, 700]))) for _ in range(40)] + [None]
+    plain = []
+    for text in texts:
+        data = EDGE * scoring.DEPTH + (text or b"") + EDGE
+        for k in range(scoring.DEPTH, len(data)):
+            plain.append(int.from_bytes(bytes([*data[k - scoring.DEPTH : k][::-1], data[k]]), "big"))
+    for size in (16, 100, 1 << 20):
+        monkeypatch.setattr(scoring, "WINDOW", size)
+        windows = list(scoring.Laid(texts).windows(0, len(texts)))
+        assert np.concatenate([code for *_, code in windows]).tolist() == plain
+        assert [w[0] for w in windows] == sorted(w[0] for w in windows)
+        every, n = scoring._distinct_pairs(texts, len(texts))
+        assert dict(zip(every.tolist(), n.tolist())) == {c: plain.count(c) for c in set(plain)}
+        half = scoring._distinct_pairs(texts, 10)
+        assert half[0].tolist() == every.tolist() and half[1].sum() == sum(len(t or b"") + 1 for t in texts[:10])
