@@ -39,6 +39,8 @@ from shelfwise.llm.batches import batches, crc_fold, field, named, small_batches
 DEPTH, SPAN = 6, 2
 #: Bytes of a slice, bytes whose pairs are made at a time, and bytes of text for each bucket of pairs.
 SLICE, WINDOW, BUCKET = 8 << 20, 2 << 20, 16 << 20
+#: Bytes of text whose tokens are looked up at a time.
+PART = 1 << 20
 #: Bytes of packed rows that a task takes at a time.
 ROWS_BYTES = 4 << 20
 #: The most buckets, of leaves and above.
@@ -575,16 +577,19 @@ def _scored(buckets: int, shared, scale: float, schema: T.StructType) -> Callabl
                 else:
                     scores[first:last] = np.add.reduceat(logs_of, np.cumsum(laid.sizes[first:last]) - laid.sizes[first:last])
             del sorted_, every, values
-            counts, known, base, rare = [], [], [], []
-            for text in texts:
-                tokens = tokens_of(text)
-                own = [x for x in map(logs.get, tokens) if x is not None]
-                counts.append(len(tokens))
-                known.append(len(own))
-                base.append(float(np.sum(own)))
-                rest = Counter(t for t in tokens if t not in logs) if len(own) < len(tokens) else {}
-                rare.append([{"token": t, "n": n} for t, n in rest.items()])
-            yield batches(schema, [slice_.column("id"), slice_.column("held_out"), counts, known, base, scores, laid.sizes, rare])
+            part = np.cumsum(laid.sizes) // PART  # the tokens of a part are in memory together
+            for a, b in zip(first_of := np.flatnonzero(np.diff(part, prepend=-1)), np.append(first_of[1:], len(texts))):
+                counts, known, base, rare = [], [], [], []
+                for text in texts[a:b]:
+                    tokens = tokens_of(text)
+                    own = [x for x in map(logs.get, tokens) if x is not None]
+                    counts.append(len(tokens))
+                    known.append(len(own))
+                    base.append(float(np.sum(own)))
+                    rest = Counter(t for t in tokens if t not in logs) if len(own) < len(tokens) else {}
+                    rare.append([{"token": t, "n": n} for t, n in rest.items()])
+                ids, held = (slice_.column(name).slice(a, b - a) for name in ("id", "held_out"))
+                yield batches(schema, [ids, held, counts, known, base, scores[a:b], laid.sizes[a:b], rare])
 
     return task
 
