@@ -158,3 +158,21 @@ def test_blocks_and_checkpoints_reach_the_training(planted, monkeypatch):
     monkeypatch.setattr(model, "ALS", Spy)
     model.als_grid_search(planted, [Params(1, 0.1, 1)], blocks=3, checkpoint_interval=4)
     assert seen == [(3, 3, 4)]
+
+
+@pytest.mark.parametrize("rank", [1, 3])
+def test_the_residual_is_the_largest_slope_and_sends_a_rating_once(planted, rank):
+    trained = model.als_train(planted, Params(rank, 0.1, 2))
+    seen = planted.where((F.col("user_id") + F.col("item_id")) % 3 != 0)  # other ratings than those of the training, so that slopes are left
+    u, v = ({r.id: np.array(r.features, float) for r in side.collect()} for side in (trained.userFactors, trained.itemFactors))
+    want = {}
+    for r in seen.collect():
+        n, slope = want.get(r.user_id, (0, 0.0))
+        want[r.user_id] = (n + 1, slope + (u[r.user_id] @ v[r.item_id] - r.rating) * v[r.item_id])
+    found = model.solution_residual(trained, seen, 0.1)
+    for r in found.collect():
+        n, slope = want.pop(r.user_id)
+        assert (r.n_ratings, r.n_factors) == (n, rank)
+        assert r.residual == pytest.approx(np.abs(slope + 0.1 * n * u[r.user_id]).max(), rel=1e-6)
+    assert not want
+    assert "Generate" not in found._jdf.queryExecution().toString()
