@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -160,6 +161,34 @@ def test_blocks_and_checkpoints_reach_the_training(planted, monkeypatch):
     assert seen == [(3, 3, 4)]
 
 
+def shuffled_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_grid_leaves_no_shuffle_files_and_only_the_best_model(spark, planted, tmp_path, monkeypatch):
+    monkeypatch.setattr(model, "scratch_path", lambda spark, name: str(tmp_path / name), raising=False)
+    ratings = planted.localCheckpoint()
+    before = shuffled_files(spark)
+    grid = [Params(1, 5.0, 10), Params(3, 0.01, 10), Params(2, 5.0, 10)]
+    result = model.als_grid_search(ratings, grid, blocks=2)
+    deadline = time.monotonic() + 20
+    while len(left := shuffled_files(spark) - before) > 60 and time.monotonic() < deadline:
+        time.sleep(0.5)
+    assert len(left) <= 60, len(left)  # 519 were left while each trial kept the files of its last iterations
+    assert [m["rmse"] for m in result.metrics].index(min(m["rmse"] for m in result.metrics)) == grid.index(result.best)
+    assert [p.name for p in (tmp_path / "trials").iterdir()] == [str(grid.index(result.best))]
+    assert result.model.userFactors.count() == 40
+
+
+def test_the_interval_of_checkpoints_does_not_change_the_vectors(planted):
+    found = [model.als_train(planted, Params(3, 0.1, 6), blocks=2, checkpoint_interval=n) for n in (10, model.CHECKPOINT_INTERVAL, 1)]
+    vectors = [sorted((r.id, tuple(r.features)) for r in m.userFactors.collect()) for m in found]
+    for other in vectors[1:]:
+        assert [i for i, _ in other] == [i for i, _ in vectors[0]]
+        assert np.allclose([v for _, v in other], [v for _, v in vectors[0]], atol=1e-4)
+
+
 @pytest.mark.parametrize("rank", [1, 3])
 def test_the_residual_is_the_largest_slope_and_sends_a_rating_once(planted, rank):
     trained = model.als_train(planted, Params(rank, 0.1, 2))
