@@ -128,9 +128,9 @@ def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: computed once, and safe from lost executors."""
-    path = scratch_path(df.sparkSession, name)
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder, or to ``path``, and read again: computed once, and safe from lost executors."""
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

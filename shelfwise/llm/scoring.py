@@ -21,10 +21,9 @@ of its own. The steps, with packed arrays as rows between them:
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 from math import ceil
 
 import numpy as np
@@ -34,11 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.batches import batches, crc_fold, field, named, small_batches, stored
+from shelfwise.session import collect_garbage, run_folder, scratch_path
 
 #: Bytes of the longest context, and how many depths are resolved together; they divide.
 DEPTH, SPAN = 6, 2
 #: Bytes of a slice, bytes whose pairs are made at a time, and bytes of text for each bucket of pairs.
-SLICE, WINDOW, BUCKET = 8 << 20, 2 << 20, 16 << 20
+SLICE, WINDOW, BUCKET = 8 << 20, 1 << 20, 16 << 20
 #: Bytes of text whose tokens are looked up at a time.
 PART = 1 << 20
 #: Bytes of packed rows that a task takes at a time.
@@ -86,6 +86,16 @@ def _of_eight(parts: Sequence[pa.RecordBatch], name: str) -> np.ndarray:
     return np.stack([np.concatenate([_array(p, f"{name}{level}") for p in parts]) for level in range(8)], axis=1)
 
 
+def _bytes_of(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    """Floats as columns of their first, second, … bytes, which compress better."""
+    parts = np.ascontiguousarray(values, dtype=np.float32).view(np.uint8).reshape(-1, 4)
+    return {f"{name}{k}": np.ascontiguousarray(parts[:, k]) for k in range(4)}
+
+
+def _of_bytes(part: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.stack([_array(part, f"{name}{k}") for k in range(4)], axis=1).view(np.float32)[:, 0]
+
+
 #: What goes from step to step; ``kind`` orders the rows of a key.
 ROW = "key long, kind int, slice long, body binary"
 _PAIRS, _BELOW, _ABOVE, _ASKED, _ANSWER = range(5)
@@ -208,6 +218,11 @@ def _merged(code: np.ndarray, n: np.ndarray, more: np.ndarray, counts: np.ndarra
     return every[first], np.add.reduceat(total, first) if len(first) else total
 
 
+def _union(codes: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The distinct numbers of both, ascending. By sorting, as ``np.union1d`` hashes, at ten times the time and memory."""
+    return _counted(np.concatenate([codes, more]))[0]
+
+
 def _distinct_pairs(texts: Sequence[bytes | None], taught: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct pairs of all texts, and how often each occurs in the first ``taught`` ones."""
     laid = Laid(texts)
@@ -224,46 +239,44 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
+def _token_parts(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int, list[int], pa.Array]]:
+    """(texts from, to, the number of tokens of each, their tokens) for about ``PART`` bytes of text at a time."""
+    part = np.cumsum([len(t or b"") + 1 for t in texts]) // PART
+    for a, b in zip(first_of := np.flatnonzero(np.diff(part, prepend=-1)), np.append(first_of[1:], len(texts))):
+        tokens = [tokens_of(t) for t in texts[a:b]]
+        yield int(a), int(b), list(map(len, tokens)), pa.array(chain.from_iterable(tokens), pa.binary())
+
+
+def _token_counts(texts: Sequence[bytes | None]) -> pa.Table:
+    """(token, n) of all texts."""
+    none = pa.table({"token": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
+    parts = [none, *(pa.table(tokens.value_counts().flatten(), names=["token", "n"]) for *_, tokens in _token_parts(texts))]
+    return pa.concat_tables(parts).group_by("token").aggregate([("n", "sum")]).select(["token", "n_sum"])
+
+
 _ASKING = "key long, kind int, slice long, body binary, token binary, n long"
 
 
 def _asking(buckets: int) -> Callable:
     """For each slice the distinct pairs in every bucket, with their counts in training texts; and the counts of tokens."""
 
-    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens: Counter = Counter()
-
-        def shipped():
-            names, counts = list(tokens), list(tokens.values())
-            tokens.clear()
-            for k in range(0, len(names), 50_000):
-                part = names[k : k + 50_000]
-                none = [None] * len(part)
-                yield made(none, none, none, none, part, counts[k : k + 50_000])
+    kinds = {"key": pa.int64(), "kind": pa.int32(), "slice": pa.int64(), "body": pa.binary(), "token": pa.binary(), "n": pa.int64()}
 
-        def made(*columns):
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "kind", "slice", "body", "token", "n"])
+    def made(size: int, **given) -> pa.RecordBatch:
+        columns = [pa.array(given[c], k) if c in given else pa.nulls(size, k) for c, k in kinds.items()]
+        return pa.RecordBatch.from_arrays(columns, names=list(kinds))
 
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows = unpacked(body)
-                texts, held = rows.column("text").to_pylist(), _array(rows, "held_out").astype(bool)
-                every, counts = _distinct_pairs(texts, int((~held).sum()))  # those held out stand behind the others
-                out = [
-                    (key, _ASKED, number, packed(code=_steps(every[at]), n=counts[at]))
-                    for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets))
-                ]
-                for k in range(0, len(out), 1000):
-                    part = list(zip(*out[k : k + 1000]))
-                    none = [None] * len(part[0])
-                    yield made(*part, none, none)
-                for text, out_of in zip(texts, held):
-                    if not out_of:
-                        tokens.update(tokens_of(text))
-                if len(tokens) > 200_000:
-                    yield from shipped()
-        yield from shipped()
+                texts, taught = rows.column("text").to_pylist(), int((~_array(rows, "held_out").astype(bool)).sum())
+                every, counts = _distinct_pairs(texts, taught)  # those held out stand behind the others
+                for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets)):
+                    yield made(1, key=[key], kind=[_ASKED], slice=[number], body=[packed(code=_steps(every[at]), n=counts[at])])
+                del every, counts
+                for part in _token_counts(texts[:taught]).to_batches(50_000):
+                    yield made(part.num_rows, token=part.column(0), n=part.column(1))
 
     return task
 
@@ -513,7 +526,7 @@ def _answering(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if logs is None:
                     logs = tier.logs(*_in_order(above, tier.top.code)).astype(np.float32)
                 asked = np.cumsum(_array(part, "code"), dtype=np.uint64)
-                answer = packed(log=logs[np.searchsorted(tier.chain[0].code, asked)])
+                answer = packed(**_bytes_of("log", logs[np.searchsorted(tier.chain[0].code, asked)]))
                 yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int64()), "bucket": pa.array([key], pa.int64()), "body": pa.array([answer], pa.binary())})
 
 
@@ -524,6 +537,7 @@ def pair_logs(asked: DataFrame, buckets: int) -> DataFrame:
     if tiers == 1:
         raise ValueError("the tree needs two tiers at least")
     leaves = stored(_by_key(asked, _leaves(DEPTH, upper)), "leaves")
+    collect_garbage(asked.sparkSession)
     levels = [leaves.where(F.col("kind") == _BELOW)]
     for tier in range(tiers - 2, 0, -1):
         levels.append(stored(_by_key(levels[-1], _climbing(tier == 1, upper)), "climbed"))
@@ -544,52 +558,63 @@ def pair_logs(asked: DataFrame, buckets: int) -> DataFrame:
 # --- the operator --------------------------------------------------------------------
 
 
-def _scored(buckets: int, shared, scale: float, schema: T.StructType) -> Callable:
-    """The rows of a slice, from its texts and the answers to what it asked."""
+def _rare(text: np.ndarray, token: np.ndarray, names: pa.Array, texts: int) -> pa.Array:
+    """For each text its distinct tokens and how often it has them, from the texts and tokens of all places."""
+    code, n = _counted(text * len(names) + token)
+    first = np.searchsorted(code, np.arange(texts + 1) * len(names)).astype(np.int32)
+    each = pa.StructArray.from_arrays([names.take(pa.array(code % len(names))), pa.array(n, pa.int64())], names=["token", "n"])
+    return pa.ListArray.from_arrays(pa.array(first), each)
+
+
+def _text_logs(texts: Sequence[bytes | None], answers: dict[int, np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The log probability and the number of symbols of each text, from the answers to what all texts asked."""
+    laid = Laid(texts)
+    windows, every = [], np.zeros(0, dtype=np.uint64)
+    for first, last, code in laid.windows(0, len(texts)):
+        order = np.argsort(code)
+        code = code[order]
+        new = np.concatenate([[True], code[1:] != code[:-1]])
+        code = code[new]
+        windows.append((first, last, order.astype(np.uint32), new, code))
+        every = _union(every, code)
+    values = np.empty(len(every), dtype=np.float32)
+    for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets)):
+        values[at] = answers.pop(key)
+    scores = np.zeros(len(texts))
+    for first, last, order, new, distinct in windows:
+        logs_of = np.empty(len(order))
+        logs_of[order] = values[np.searchsorted(every, distinct)][np.cumsum(new) - 1]
+        if last == first + 1:
+            scores[first] += logs_of.sum()
+        else:
+            scores[first:last] = np.add.reduceat(logs_of, np.cumsum(laid.sizes[first:last]) - laid.sizes[first:last])
+    return scores, laid.sizes
+
+
+def _scored(buckets: int, shared, schema: T.StructType) -> Callable:
+    """The rows of a slice, from its texts and the answers to what it asked. ``shared`` has the logs of frequent tokens."""
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = {t: float(np.log10(n + 0.5) - scale) for t, n in shared.value.items()}
+        logs = shared.value
         for _, rows in _keyed(stream):
             slice_, answers = None, {}
             for _, kind, bucket, body in rows:
                 if kind == _ANSWER:
-                    answers[bucket] = _array(unpacked(body), "log")
+                    answers[bucket] = _of_bytes(unpacked(body), "log")
                 else:
                     slice_ = unpacked(body)
             texts = slice_.column("text").to_pylist()
-            laid = Laid(texts)
-            sorted_, every = [], np.zeros(0, dtype=np.uint64)
-            for first, last, code in laid.windows(0, len(texts)):
-                order = np.argsort(code)
-                code = code[order]
-                new = np.concatenate([[True], code[1:] != code[:-1]])
-                sorted_.append((first, last, order.astype(np.uint32), new, code[new]))
-                every = np.union1d(every, code[new])
-            values = np.empty(len(every))
-            for key, at in _dealt(_bucket(every >> np.uint64(8 * SPAN + 8), buckets)):
-                values[at] = answers.pop(key)
-            scores = np.zeros(len(texts))
-            for first, last, order, new, distinct in sorted_:
-                logs_of = np.empty(len(order))
-                logs_of[order] = values[np.searchsorted(every, distinct)][np.cumsum(new) - 1]
-                if last == first + 1:
-                    scores[first] += logs_of.sum()
-                else:
-                    scores[first:last] = np.add.reduceat(logs_of, np.cumsum(laid.sizes[first:last]) - laid.sizes[first:last])
-            del sorted_, every, values
-            part = np.cumsum(laid.sizes) // PART  # the tokens of a part are in memory together
-            for a, b in zip(first_of := np.flatnonzero(np.diff(part, prepend=-1)), np.append(first_of[1:], len(texts))):
-                counts, known, base, rare = [], [], [], []
-                for text in texts[a:b]:
-                    tokens = tokens_of(text)
-                    own = [x for x in map(logs.get, tokens) if x is not None]
-                    counts.append(len(tokens))
-                    known.append(len(own))
-                    base.append(float(np.sum(own)))
-                    rest = Counter(t for t in tokens if t not in logs) if len(own) < len(tokens) else {}
-                    rare.append([{"token": t, "n": n} for t, n in rest.items()])
+            scores, sizes = _text_logs(texts, answers, buckets)
+            for a, b, counts, tokens in _token_parts(texts):
+                coded = tokens.dictionary_encode()
+                names, place = coded.dictionary, coded.indices.to_numpy()
+                log = np.array([logs.get(t, np.nan) for t in names.to_pylist()])[place]
+                text, frequent = np.repeat(np.arange(b - a), counts), ~np.isnan(log)
+                known, own = np.bincount(text[frequent], minlength=b - a), log[frequent]
+                base = [float(np.sum(own[end - n : end])) for end, n in zip(np.cumsum(known), known)]
+                rare = _rare(text[~frequent], place[~frequent], names, b - a)
                 ids, held = (slice_.column(name).slice(a, b - a) for name in ("id", "held_out"))
-                yield batches(schema, [ids, held, counts, known, base, scores[a:b], laid.sizes[a:b], rare])
+                yield batches(schema, [ids, held, counts, known, base, scores[a:b], sizes[a:b], rare])
 
     return task
 
@@ -597,24 +622,33 @@ def _scored(buckets: int, shared, scale: float, schema: T.StructType) -> Callabl
 def _scored_slices(docs: DataFrame, id_: Column, text: Column) -> tuple[DataFrame, DataFrame, int, float]:
     """The rows with their scores, written; the counts of tokens, their sum, and the log of what divides them."""
     given = docs.select(id_.alias("id"), text.cast("binary").alias("text"), (crc_fold(id_, FOLDS) == HELD_OUT).alias("held_out"))
-    slices = given.mapInArrow(_slices, "size long, body binary").withColumn("slice", F.monotonically_increasing_id())
-    slices = stored(slices, "slices")
-    buckets = min(MOST_BUCKETS, max(1, ceil((slices.agg(F.sum("size")).first()[0] or 0) / BUCKET)))
-    asking = stored(slices.select("slice", "body").mapInArrow(_asking(buckets), _ASKING), "asked")
-    words = stored(asking.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
-    frequent = words.where(F.col("n") * 2**FREQUENT >= total).toArrow()  # 2 ** FREQUENT tokens at most
-    frequent = dict(zip(frequent.column("token").to_pylist(), frequent.column("n").to_pylist()))
-    shared, scale = docs.sparkSession.sparkContext.broadcast(frequent), float(np.log10(total + 0.5 * (distinct + 1)))
-    answers = pair_logs(asking.where("body IS NOT NULL").select("key", "kind", "slice", "body"), buckets)
-    texts = slices.select(F.col("slice").alias("key"), F.lit(_PAIRS).alias("kind"), F.col("slice"), "body")
-    texts = texts.unionByName(answers.select(F.col("slice").alias("key"), F.lit(_ANSWER).alias("kind"), F.col("bucket").alias("slice"), "body"))
     schema = T.StructType([
         T.StructField("id", given.schema["id"].dataType), field("held_out", "boolean"), field("n_tokens", "long"), field("known", "long"),
         field("base", "double"), field("score", "double"), field("n_bytes", "long"), field("rare", "array<struct<token:binary,n:long>>"),
     ])
-    scored = _by_key(texts, _scored(buckets, shared, scale, schema), schema)
-    scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    spark = docs.sparkSession
+    words_path, scored_path = scratch_path(spark, "tokens"), scratch_path(spark, "scored")
+    with run_folder(spark):  # what is only needed on the way goes as soon as it isn't
+        answers_path = scratch_path(spark, "answers")
+        slices = given.mapInArrow(_slices, "size long, body binary").withColumn("slice", F.monotonically_increasing_id())
+        slices = stored(slices, "slices")
+        buckets = min(MOST_BUCKETS, max(1, ceil((slices.agg(F.sum("size")).first()[0] or 0) / BUCKET)))
+        with run_folder(spark):
+            asking = stored(slices.select("slice", "body").mapInArrow(_asking(buckets), _ASKING), "asked")
+            words = stored(asking.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")), "tokens", words_path)
+            answers = pair_logs(asking.where("body IS NOT NULL").select("key", "kind", "slice", "body"), buckets)
+            answers = stored(answers, "answers", answers_path)
+        total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+        scale = float(np.log10(total + 0.5 * (distinct + 1)))
+        frequent = words.where(F.col("n") * 2**FREQUENT >= total).toArrow()  # 2 ** FREQUENT tokens at most
+        logs = np.log10(frequent.column("n").to_numpy() + 0.5) - scale
+        shared = spark.sparkContext.broadcast(dict(zip(frequent.column("token").to_pylist(), logs.tolist())))
+        texts = slices.select(F.col("slice").alias("key"), F.lit(_PAIRS).alias("kind"), F.col("slice"), "body")
+        texts = texts.unionByName(answers.select(F.col("slice").alias("key"), F.lit(_ANSWER).alias("kind"), F.col("bucket").alias("slice"), "body"))
+        collect_garbage(spark)
+        scored = _by_key(texts, _scored(buckets, shared, schema), schema)
+        scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored", scored_path)
+    collect_garbage(spark)
     return scored, words, total, scale
 
 

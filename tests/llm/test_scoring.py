@@ -3,11 +3,13 @@
 import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from shelfwise.llm import scoring
+from shelfwise.session import run_folder
+from shelfwise.sources.folders import folder_names
 
 DOC = "doc_id long, text string, score double, Slice long, body string"
 EDGE = b"\xff"
@@ -141,3 +143,40 @@ def test_windows_hold_every_symbol_once(monkeypatch):
         assert dict(zip(every.tolist(), n.tolist())) == {c: plain.count(c) for c in set(plain)}
         half = scoring._distinct_pairs(texts, 10)
         assert half[0].tolist() == every.tolist() and half[1].sum() == sum(len(t or b"") + 1 for t in texts[:10])
+
+
+def test_only_scores_and_tokens_stay_in_the_shared_folder(spark):
+    """Slices, pairs, answers and the tree are as large as the texts several times over."""
+    rows = [(k, f"text {k} of some words", 1.0, 1, "") for k in range(20)]
+    with run_folder(spark) as path:
+        scored = scoring.language_scores(spark.createDataFrame(rows, DOC))
+        assert sorted(name.split("-")[0] for name in folder_names(spark, path, "")) == ["scored", "tokens"]
+        assert scored.count() == 20
+
+
+def test_slices_of_several_parts_and_windows_score_alike(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["one", "two", "för", "four"]) for _ in range(rng.randrange(60))) for _ in range(50)] + [None]
+    df = spark.createDataFrame([(k, t, 1.0, 1, "") for k, t in enumerate(texts)], DOC).coalesce(1)
+    every = lambda: {r.doc_id: r for r in scoring.language_scores(df).collect()}
+    want = every()
+    monkeypatch.setattr(scoring, "WINDOW", 300)
+    monkeypatch.setattr(scoring, "PART", 200)
+    monkeypatch.setattr(scoring, "FREQUENT", 2)  # most tokens by the join
+    got = every()
+    seen = Counter(t for k, text in enumerate(texts) if not held_out(k) for t in scoring.tokens_of((text or "").encode()))
+    for k, text in enumerate(texts):
+        tokens = scoring.tokens_of((text or "").encode())
+        base = sum(math.log10((seen[t] + 0.5) / (seen.total() + 0.5 * (len(seen) + 1))) for t in tokens)
+        for r in (want[k], got[k]):
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(t in seen for t in tokens), seen.total())
+            assert r.base_score == pytest.approx(base)
+        assert got[k].score == pytest.approx(want[k].score, rel=1e-6)
+
+
+def test_answers_come_back_as_they_were():
+    values = np.array([-3.25, -1e-30, 0.0, -7.123456], dtype=np.float32)
+    part = scoring.unpacked(scoring.packed(**scoring._bytes_of("log", values)))
+    assert scoring._of_bytes(part, "log").tolist() == values.tolist()
+    none = scoring.unpacked(scoring.packed(**scoring._bytes_of("log", values[:0])))
+    assert len(scoring._of_bytes(none, "log")) == 0
