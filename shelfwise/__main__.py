@@ -25,7 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument(
         "--shuffle-partitions", type=int, default=4000, help="before adaptive execution merges small ones"
     )
-    parser.add_argument("--als-blocks", type=int, default=Sizing.blocks, help="factor blocks of each side; part of the model")
+    parser.add_argument("--als-blocks", type=int, default=Sizing.blocks, help="factor blocks of each side; part of the model; by the number of ratings unless given")
     parser.add_argument("--checkpoint-interval", type=int, default=Sizing.checkpoint_interval, help="ALS iterations between checkpoints")
     jobs = parser.add_subparsers(dest="job", required=True)
     jobs.add_parser("import").add_argument("csv")

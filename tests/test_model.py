@@ -205,3 +205,24 @@ def test_the_residual_is_the_largest_slope_and_sends_a_rating_once(planted, rank
         assert r.residual == pytest.approx(np.abs(slope + 0.1 * n * u[r.user_id]).max(), rel=1e-6)
     assert not want
     assert "Generate" not in found._jdf.queryExecution().toString()
+
+
+def test_blocks_follow_the_ratings_and_leave_memory_to_the_tasks(planted, monkeypatch):
+    seen = []
+
+    class Spy(model.ALS):
+        def fit(self, data):
+            seen.append((self.getNumUserBlocks(), self.getNumItemBlocks(), self.getIntermediateStorageLevel()))
+            return super().fit(data)
+
+    monkeypatch.setattr(model, "ALS", Spy)
+    params = Params(2, 0.1, 2)
+    model.als_train(planted, params)
+    assert seen == [(8, 8, "MEMORY_AND_DISK")]
+    monkeypatch.setattr(model, "RATINGS_PER_BLOCK", 50)
+    trained = model.als_train(planted, params)
+    assert seen[1:] == [(24, 24, "DISK_ONLY")]  # was 8 blocks, however many ratings each of them held
+    assert model.solution_residual(trained, planted, params.reg).agg(F.max("residual")).first()[0] < 1e-3
+    model.als_grid_search(planted, [params])
+    fitted = -(-planted.where("split = 'train'").count() // 50)
+    assert fitted > 8 and seen[2:] == [(fitted, fitted, "DISK_ONLY")]
